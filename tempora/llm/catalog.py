@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tempora.llm import decontaminate, tokens
+from tempora.llm import decontaminate, packing, tokens
 
-MODULES = (tokens, decontaminate)
+MODULES = (tokens, packing, decontaminate)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
