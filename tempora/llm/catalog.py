@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tempora.llm import decontaminate, packing, tokens
+from tempora.llm import decontaminate, packing, quality, tokens
 
-MODULES = (tokens, packing, decontaminate)
+MODULES = (tokens, packing, quality, decontaminate)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
