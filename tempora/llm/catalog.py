@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tempora.llm import decontaminate, packing, quality, tokens
+from tempora.llm import decontaminate, packing, quality, substrings, tokens
 
-MODULES = (tokens, packing, quality, decontaminate)
+MODULES = (tokens, packing, quality, substrings, decontaminate)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -157,12 +157,12 @@ def winnow(hashes: np.ndarray, span: int) -> np.ndarray:
     n = len(hashes)
     if n < span:
         return np.zeros(0, np.int64)
-    lowest = _sliding(hashes, span, np.minimum, np.iinfo(U64).max)
+    lowest = sliding(hashes, span, np.minimum, np.iinfo(U64).max)
     around = np.concatenate((np.zeros(span - 1, U64), lowest, np.zeros(span - 1, U64)))
-    return np.flatnonzero(_sliding(around, span, np.maximum, 0) == hashes)
+    return np.flatnonzero(sliding(around, span, np.maximum, 0) == hashes)
 
 
-def _sliding(values: np.ndarray, span: int, pick: np.ufunc, fill: int) -> np.ndarray:
+def sliding(values: np.ndarray, span: int, pick: np.ufunc, fill: int) -> np.ndarray:
     """pick.reduce of every `span` neighbours, from running values of blocks of `span`."""
     n = len(values)
     padded = np.full(-(-n // span) * span, fill, U64)
