@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tempora.llm import decontaminate, packing, quality, substrings, tokens
+from tempora.llm import decontaminate, packing, quality, substrings, suffix_dedup, tokens
 
-MODULES = (tokens, packing, quality, substrings, decontaminate)
+MODULES = (tokens, packing, quality, substrings, decontaminate, suffix_dedup)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -5,23 +5,17 @@ from __future__ import annotations
 import numpy as np
 
 
-def suffix_array(text: np.ndarray, depth: int | None = None) -> np.ndarray:
-    """Order of all suffixes; with `depth`, of their first `depth` symbols at least.
+def suffix_array(text: np.ndarray) -> np.ndarray:
+    """The order of all suffixes of a text of non-negative integers.
 
-    text: non-negative integers. Suffixes are first sorted by as many symbols as
-    fit into 63 bits. After that each round doubles the compared length, and
-    only the places in groups that are still tied are sorted again, by the rank
-    of the suffix that begins `length` further on.
+    Suffixes are first sorted by as many symbols as fit into 63 bits. After that
+    each round doubles the compared length, and only the places in groups that
+    are still tied are sorted again, by the rank of the suffix that begins
+    `length` further on. A suffix's group is its first place in the order.
     """
-    order, _, _ = refined(text, depth)
-    return order
-
-
-def refined(text: np.ndarray, depth: int | None = None) -> tuple[np.ndarray, np.ndarray, int]:
-    """The order, each suffix's group (its first place in the order) and the compared length."""
     n = len(text)
     if n == 0:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), 0
+        return np.zeros(0, np.int64)
     bits = max(1, int(int(text.max()) + 1).bit_length())
     length = max(1, 63 // bits)
     key = np.zeros(n, np.int64)
@@ -36,7 +30,7 @@ def refined(text: np.ndarray, depth: int | None = None) -> tuple[np.ndarray, np.
     group = np.empty(n, np.int64)
     group[order] = first
     tied = _tied(fresh)
-    while len(tied) and (depth is None or length < depth):
+    while len(tied):
         places = order[tied]
         ahead = places + length
         after = np.where(ahead < n, group[np.minimum(ahead, n - 1)] + 1, 0)
@@ -50,10 +44,41 @@ def refined(text: np.ndarray, depth: int | None = None) -> tuple[np.ndarray, np.
         still = _tied(fresh)
         tied = tied[still]
         length *= 2
-    return order, group, length
+    return order
 
 
 def _tied(fresh: np.ndarray) -> np.ndarray:
     """Places whose group has more than one member."""
     alone = fresh & np.concatenate((fresh[1:], [True]))
     return np.flatnonzero(~alone)
+
+
+def common_prefixes(text: np.ndarray, order: np.ndarray, cap: int, stride: int = 64) -> np.ndarray:
+    """Common prefix, at most `cap` long, of each suffix with the one before it in the order.
+
+    Kasai's rule: the suffix one place further shares at least one symbol less
+    with its own neighbour. The text is cut into lanes of `stride` places, and
+    all lanes step through their places at once, each from its own bound.
+    """
+    n = len(text)
+    before = np.full(n, -1, np.int64)
+    before[order[1:]] = order[:-1]
+    padded = np.full(n + cap + 1, -1, np.int64)
+    padded[:n] = text
+    shared = np.zeros(n, np.int64)
+    base = np.arange(0, n, stride)
+    bound = np.zeros(len(base), np.int64)
+    for step in range(min(stride, n)):
+        here = base + step
+        if here[-1] >= n:
+            base, here, bound = base[:-1], here[:-1], bound[:-1]
+        other = before[here]
+        bound = np.where(other < 0, 0, np.maximum(bound - 1, 0))
+        active = np.flatnonzero((other >= 0) & (bound < cap))
+        while len(active):
+            same = padded[here[active] + bound[active]] == padded[other[active] + bound[active]]
+            active = active[same]
+            bound[active] += 1
+            active = active[bound[active] < cap]
+        shared[here] = bound
+    return shared[order]
