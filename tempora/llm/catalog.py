@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tempora.llm import decontaminate, jaccard, packing, quality, substrings, suffix_dedup, tokens
+from tempora.llm import decontaminate, jaccard, packing, quality, substrings, suffix_dedup, tokens, toxicity
 
-MODULES = (tokens, packing, jaccard, quality, substrings, decontaminate, suffix_dedup)
+MODULES = (tokens, packing, jaccard, quality, toxicity, substrings, decontaminate, suffix_dedup)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
