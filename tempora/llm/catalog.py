@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tempora.llm import decontaminate, jaccard, lines, packing, quality, substrings, suffix_dedup, tokens, toxicity
+from tempora.llm import chat, decontaminate, jaccard, lines, packing, quality, substrings, suffix_dedup, tokens, toxicity
 
-MODULES = (tokens, packing, jaccard, quality, lines, toxicity, substrings, decontaminate, suffix_dedup)
+MODULES = (tokens, packing, jaccard, quality, lines, toxicity, substrings, decontaminate, suffix_dedup, chat)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
