@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tempora.plans import texts, timelines
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return {**timelines.Q, **texts.Q}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {**timelines.SQL, **texts.SQL}
