@@ -6,12 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tempora.plans import texts, timelines
+from tempora.plans import records, texts, timelines
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {**timelines.Q, **texts.Q}
+    return {**timelines.Q, **texts.Q, **records.Q}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {**timelines.SQL, **texts.SQL}
+    return {**timelines.SQL, **texts.SQL, **records.SQL}
