@@ -2,8 +2,8 @@
 
 1. Every document's set of word shingles becomes hashes of 64 bits; equal sets
    are one class from here on, known by a digest of 128 bits.
-2. Routing. Two linked sets differ in at most k shingles, so of k + 1 parts of
-   the shingles' value range one at least is equal in both. A set sends a
+2. Routing. Two linked sets differ in at most k shingles, so of m > k parts of
+   the shingles' value range m - k at least are equal in both. A set sends a
    signature of each part for its size level, and for the next level when a
    linked set may belong there; a set with so many empty parts that only empty
    ones may be equal also sends its single shingles. Sets that share a signature
@@ -45,6 +45,8 @@ BLOCK_SETS, BLOCK_BYTES = 4096, 16 << 20
 #: Sets of a cut cluster that stand in each of its blocks, on average.
 PIVOTS = 8
 FANOUT = 8
+#: Members of clusters that are broadcast at most (about 60 bytes each); more are joined by a shuffle.
+BROADCAST_ROWS = 500_000
 
 
 class Rule:
@@ -106,7 +108,8 @@ class Sets:
             sends = (n > 0) & (k > 0)
             if step:  # only where a linked larger set can be of that level
                 sends &= 100 * n >= rule.percent * rule.levels[own]
-            parts = np.where(sends, k + 1, 0)
+            # a few parts more than k + 1, so that hardly a set is sparse
+            parts = np.where(sends, k + 2 + k // 8, 0)
             begin = np.concatenate(([0], np.cumsum(parts)))
             mine = sends[self.document]
             document, values = self.document[mine], self.values[mine]
@@ -357,7 +360,7 @@ def linked(docs: DataFrame, size: int = 3, percent: int = 90, block_sets: int =
     members = members.join(sized.select("cluster", "sets", cut.alias("cuts")), "cluster")
     placed = members.withColumn("block", F.pmod(F.xxhash64("representative"), F.col("cuts")).cast("int"))
     pivot = F.pmod(F.xxhash64("representative", F.lit(1)), F.col("sets")) < PIVOTS
-    travelling = materialise(_with_sets(docs, placed.withColumn("pivot", pivot), rule))
+    travelling = _with_sets(docs, materialise(placed.withColumn("pivot", pivot)), rule)
 
     # each block by itself, with the pivots of its cluster
     everywhere = F.when(F.col("pivot") & (F.col("cuts") > 1), F.sequence(F.lit(0), F.col("cuts") - 1)).otherwise(F.array("block"))
@@ -371,7 +374,7 @@ def linked(docs: DataFrame, size: int = 3, percent: int = 90, block_sets: int =
     links = materialise(inside.repartition("cluster", "part").sortWithinPartitions("cluster", "part").mapInArrow(within, "a long, b long"))
 
     # block against block, where a cut cluster is not yet one component
-    if travelling.where("cuts > 1").limit(1).count():
+    if sized.where(cut > 1).limit(1).count():
         joined = travelling.where("cuts > 1").join(components(links, "a", "b").withColumnRenamed("node", "representative"), "representative", "left")
         joined = joined.withColumn("component", F.coalesce("component", "representative"))
         open_clusters = joined.groupBy("cluster").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("cluster")
@@ -412,7 +415,8 @@ def _with_sets(docs: DataFrame, members: DataFrame, rule: Rule) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets.digest(WORD_BASE).view(np.int64)), shingles], names=["representative", "d1", "shingles"])
 
     rows = id_and_text(docs).where("doc_id is not null").mapInArrow(run, "representative long, d1 long, shingles binary")
-    return rows.join(members, ["representative", "d1"]).dropDuplicates(["representative", "cluster"])
+    small = members.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    return rows.join(F.broadcast(members) if small else members, ["representative", "d1"])
 
 
 def op3_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
