@@ -106,30 +106,77 @@ def _settled(parts: list[tuple], ids: np.ndarray, tags: np.ndarray) -> pa.Record
 class Shard:
     """Contexts in the order of anchor, document and place."""
 
-    def __init__(self, rows: pa.Table):
-        rows = rows.combine_chunks()
-        self.anchor, self.doc, self.tag, self.first = (rows.column(c).to_numpy() for c in ("anchor", "doc_id", "tag", "first"))
-        self.bytes, offsets = binary(rows.column("context"))
-        self.sizes = np.diff(offsets)
-        base = int(offsets[0])
+    def __init__(self, anchor: np.ndarray, doc: np.ndarray, tag: np.ndarray, first: np.ndarray, data: np.ndarray, sizes: np.ndarray):
+        """data: the contexts' bytes, one after the other."""
+        self.anchor, self.doc, self.tag, self.first, self.data, self.sizes = anchor, doc, tag, first, data, sizes
         # contexts stand apart by a symbol of their own
-        self.begin = offsets[:-1] - base + np.arange(len(self.sizes))
-        self.text = np.full(int(self.sizes.sum()) + len(self.sizes), 256, np.int64)
+        self.begin = np.cumsum(sizes) - sizes + np.arange(len(sizes))
+        self.text = np.full(int(sizes.sum()) + len(sizes), 256, np.int64)
         inside = np.ones(len(self.text), bool)
-        inside[self.begin + self.sizes] = False
-        self.text[inside] = self.bytes[base : base + int(self.sizes.sum())]
+        inside[self.begin + sizes] = False
+        self.text[inside] = data
+
+    @classmethod
+    def of(cls, rows: pa.Table) -> Shard:
+        rows = rows.combine_chunks()
+        data, offsets = binary(rows.column("context"))
+        return cls(*(rows.column(c).to_numpy() for c in ("anchor", "doc_id", "tag", "first")), data[offsets[0] : offsets[-1]], np.diff(offsets))
 
-    def starts(self, size: int) -> np.ndarray:
-        counts = self.sizes - size + 1
-        return np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts - self.begin, counts)
+    def part(self, rows: np.ndarray) -> Shard:
+        begin = (np.cumsum(self.sizes) - self.sizes)[rows]
+        sizes = self.sizes[rows]
+        stops = np.cumsum(sizes)
+        data = self.data[np.arange(sizes.sum()) - np.repeat(stops - sizes - begin, sizes)]
+        return Shard(self.anchor[rows], self.doc[rows], self.tag[rows], self.first[rows], data, sizes)
 
     def repeats(self, size: int) -> np.ndarray:
-        """A flag by text place: a string that an earlier place has begins here."""
+        """A flag by text place: a string that an earlier place has begins here.
+
+        Equal contexts are settled first, and a context without any other of its
+        anchor, in which the anchor stands once, can't repeat; the suffixes of
+        all others are sorted.
+        """
+        flags = np.zeros(len(self.text), bool)
+        wide, ends = self.data.astype(U64) + U64(1), np.cumsum(self.sizes)
+        begins = ends - self.sizes
+        h1, h2 = range_hash(wide, begins, ends, WORD_BASE), range_hash(wide, begins, ends, WORD_BASE_2)
+        order = np.lexsort((np.arange(len(h1)), h2, h1, self.anchor))
+        fresh = np.ones(len(order), bool)
+        fresh[1:] = (h1[order][1:] != h1[order][:-1]) | (h2[order][1:] != h2[order][:-1]) | (self.anchor[order][1:] != self.anchor[order][:-1])
+        earliest = np.empty(len(order), np.int64)
+        earliest[order] = order[fresh][np.cumsum(fresh) - 1]
+        again = earliest != np.arange(len(order))
+        known = again & ((self.doc > self.doc[earliest]) | (self.tag == self.tag[earliest]) & (self.first > self.first[earliest]))
+        flags[self.spread(np.flatnonzero(known), size)] = True
+
+        gram = size // 2
+        counts = self.sizes - gram + 1
+        at = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts - begins, counts)
+        found = range_hash(wide, at, at + gram, BYTE_BASE).view(np.int64) == np.repeat(self.anchor, counts)
+        times = np.add.reduceat(found.astype(np.int64), np.cumsum(counts) - counts)
+        rest = np.flatnonzero(~known)
+        _, which, members = np.unique(self.anchor[rest], return_inverse=True, return_counts=True)
+        rest = rest[(members[which] > 1) | (times[rest] > 1)]
+        if len(rest):
+            part = self.part(rest)
+            marked = part.sorted_repeats(size)
+            places = np.flatnonzero(marked)
+            row = np.searchsorted(part.begin, places, "right") - 1
+            flags[self.begin[rest[row]] + places - part.begin[row]] = True
+        return flags
+
+    def spread(self, rows: np.ndarray, size: int) -> np.ndarray:
+        """Begins of the strings of those contexts."""
+        counts = self.sizes[rows] - size + 1
+        return np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts - self.begin[rows], counts)
+
+    def sorted_repeats(self, size: int) -> np.ndarray:
+        """The same flags, by the suffix array of the whole shard."""
         order = suffix_array(self.text)
         alike = common_prefixes(self.text, order, size) >= size
         group = np.cumsum(~alike)
         valid = np.zeros(len(self.text), bool)
-        valid[self.starts(size)] = True
+        valid[self.spread(np.arange(len(self.sizes)), size)] = True
         paired = alike.copy()
         paired[:-1] |= alike[1:]
         keep = valid[order] & paired
@@ -163,7 +210,7 @@ class Merged:
     def search(self, shard: Shard, flags: np.ndarray, size: int) -> None:
         """Marks strings of the anchor that earlier shards hold."""
         rows = np.flatnonzero(shard.anchor == self.anchor)
-        places = self._places(shard, rows, size)
+        places = shard.spread(rows, size)
         if not len(places):
             return
         strings = shard.strings(places, size)
@@ -177,7 +224,7 @@ class Merged:
         """Remembers the strings of the anchor that are new in this shard."""
         if anchor != self.anchor:
             self.anchor, self.tables = anchor, []
-        places = self._places(shard, np.flatnonzero(shard.anchor == anchor), size)
+        places = shard.spread(np.flatnonzero(shard.anchor == anchor), size)
         places = places[~flags[places]]
         if len(places):
             strings = shard.strings(places, size)
@@ -185,11 +232,6 @@ class Merged:
             order = np.argsort(strings, kind="stable")
             self.tables.append((strings[order], shard.doc[row][order], shard.tag[row][order]))
 
-    @staticmethod
-    def _places(shard: Shard, rows: np.ndarray, size: int) -> np.ndarray:
-        counts = shard.sizes[rows] - size + 1
-        return np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts - shard.begin[rows], counts)
-
 
 def _spans(shard: Shard, flags: np.ndarray) -> pa.RecordBatch:
     """Stretches of marked strings: doc_id, tag, first and last begin."""
@@ -274,7 +316,7 @@ def _cut(batch: pa.RecordBatch, limit: int) -> Iterator[pa.RecordBatch]:
 
 def _one(merged: Merged, rows: pa.Table, goes_on: int | None, size: int) -> pa.RecordBatch:
     """Handles a shard; goes_on: the anchor that further shards may hold."""
-    shard = Shard(rows)
+    shard = Shard.of(rows)
     flags = shard.repeats(size)
     if merged.anchor is not None:
         merged.search(shard, flags, size)
