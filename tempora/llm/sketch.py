@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 
-from tempora.llm.textkit import U64, binary, mix
+from tempora.llm.textkit import U64, mix
 
 ROWS = 2
 #: Cells of one row: 2 ** BITS; the set of a row then takes 2 ** (BITS - 3) bytes, 32 MB for both.
@@ -81,7 +81,3 @@ def estimated_repeated(keys: np.ndarray, sets: np.ndarray, bits: int = BITS) ->
         at = cells(keys, row, bits)
         found &= (sets[row][at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
     return found
-
-
-def column_bytes(batch: pa.RecordBatch, name: str) -> tuple[np.ndarray, np.ndarray]:
-    return binary(batch.column(name))
