@@ -43,9 +43,9 @@ REMEMBERED = 1_000_000
 
 
 def errors_allowed(term: str) -> int:
-    """Short terms match as they are; longer ones with one or two errors."""
-    n = len(term.rstrip(END))
-    return 0 if n < 5 else 1 if n < 8 else 2
+    """Stems and short words match as they are; longer words with one error, from ten letters on with two."""
+    n = len(term) - 1
+    return 0 if term[-1] != END or n < 5 else 1 if n < 10 else 2
 
 
 class Lexicon:
@@ -53,24 +53,42 @@ class Lexicon:
 
     def __init__(self, terms: list[str]):
         self.terms = terms
+        #: node: char -> [terms below as bits, most errors allowed below, node]; "" -> terms that end here
         self.trie: dict = {}
-        for term in terms:
+        # with at most k errors one of k + 1 parts of a term stands in the token unchanged, at most k places away
+        self.spots: dict[str, dict[int, int]] = {}
+        for number, term in enumerate(terms):
+            plain, k, bit = term.rstrip(END), errors_allowed(term), 1 << number
             node = self.trie
-            for char in term.rstrip(END):
-                node = node.setdefault(char, {})
-            node.setdefault("", []).append(term)
-        parts = set()
-        for term in terms:
-            plain, k = term.rstrip(END), errors_allowed(term)
+            for char in plain:
+                entry = node.setdefault(char, [0, 0, {}])
+                entry[0] |= bit
+                entry[1] = max(entry[1], k)
+                node = entry[2]
+            node.setdefault("", []).append((bit, k, term))
             edges = [round(i * len(plain) / (k + 1)) for i in range(k + 2)]
-            parts.update(plain[a:b] for a, b in zip(edges, edges[1:], strict=False))
-        # with at most k errors one of k + 1 parts of the term stands in the token unchanged
-        self.may = re.compile("|".join(map(re.escape, sorted(parts)))).search if parts else lambda _: None
+            for a, b in zip(edges, edges[1:], strict=False):
+                at = self.spots.setdefault(plain[a:b], {})
+                for i in range(max(0, a - k), a + k + 1):
+                    at[i] = at.get(i, 0) | bit
+        self.lengths = sorted({len(part) for part in self.spots})
+        self.reach = 1 + max((max(at) for at in self.spots.values()), default=-1)
         self.most = max(map(errors_allowed, terms), default=0)
 
+    def candidates(self, token: str) -> int:
+        """Bits of the terms that the token may spell; none of the others can."""
+        spots, found = self.spots, 0
+        for n in self.lengths:
+            for i in range(min(self.reach, len(token) - n + 1)):
+                at = spots.get(token[i : i + n])
+                if at is not None:
+                    found |= at.get(i, 0)
+        return found
+
     def match(self, token: str) -> tuple[int, str] | None:
         """The fewest errors, and the term, of the terms that the token spells; None if none."""
-        if not self.may(token):
+        wanted = self.candidates(token)
+        if not wanted:
             return None
         n = len(token)
         places: dict[str, int] = {}
@@ -84,19 +102,22 @@ class Lexicon:
             node, states = stack.pop()
             for char, below in node.items():
                 if char == "":
-                    for term in below:
-                        for e in range(errors_allowed(term) + 1):
+                    for bit, k, term in below:
+                        for e in range(k + 1) if bit & wanted else ():
                             # a word ends with the token; a stem may go on
                             if states[e] & (1 << n if term[-1] == END else full) and (best is None or (e, term) < best):
                                 best = (e, term)
                     continue
+                terms, most, child = below
+                if not terms & wanted:
+                    continue
                 here = places.get(char, 0)
                 now = [(states[0] & here) << 1]
-                for e in range(1, self.most + 1):
+                for e in range(1, most + 1):
                     # same character; another one; one missing in the token; one too many in it
                     now.append(((states[e] & here) << 1 | states[e - 1] << 1 | states[e - 1] | now[e - 1] << 1) & full)
                 if any(now):
-                    stack.append((below, now))
+                    stack.append((child, now))
         return best
 
 
@@ -181,8 +202,14 @@ def _quoted(before: str, after: str) -> bool:
     return opened and any(mark in after for mark in CLOSING)
 
 
-def learn_terms(sample: DataFrame, least: int = 4, purity: float = 0.8, most_terms: int = 2000) -> list[str]:
-    """Words and stems of at least three letters that mark toxic documents of a bounded sample."""
+def learn_terms(sample: DataFrame, least: int = 4, share: float = 0.01, purity: float = 0.8, most_terms: int = 200) -> list[str]:
+    """Words and stems of at least three letters that mark toxic documents of a bounded sample.
+
+    A term stands in at least `least` toxic documents, and in `share` of them;
+    the most frequent ones count, copies of a document once.
+    """
+    sample = materialise(sample.dropDuplicates(["text"]))
+    least = max(least, int(share * sample.where("toxic = 1").count()))
 
     def stems(text: str | None) -> set[str]:
         words = set(TOKEN.findall((text or "").lower()))
