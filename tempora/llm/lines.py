@@ -1,15 +1,17 @@
 """Fuzzy line deduplication by MinHash, in DataFrame expressions only.
 
-1. Every line gets a MinHash signature of its character shingles that begin at
-   words (at every character where a line has hardly any spaces), cut into bands.
-   Equal lines are one from here on, known by a hash.
+1. Equal lines are one from here on, known by a hash. Every distinct line gets a
+   MinHash signature of its character shingles that begin at words (at every
+   character where a line has hardly any spaces), cut into bands.
 2. Lines that share a band meet its smallest and its largest line as candidates:
-   a bucket of n lines makes 2n pairs, however large it is, and its ends are
-   aggregated before the shuffle.
+   a bucket of n lines makes 2n pairs, and its ends are aggregated before the shuffle.
 3. Candidates are verified by the exact Jaccard similarity of all their character
-   shingles.
-4. Verified pairs are joined to components by distributed union-find, and of each
-   component the occurrence with the smallest (doc_id, line number) stays.
+   shingles, and verified pairs joined to components by distributed union-find.
+4. Lines of buckets (of four and more) that are not in one component are joined
+   again, without loss: two similar lines share one of the rarest shingles of each
+   (prefix filter). Lines of different components that do are verified as well, so
+   of two lines that share a band every pair is compared or already connected.
+5. Of each component the occurrence with the smallest (doc_id, line number) stays.
 
 With 8 bands of 4 a pair of similarity 0.8 shares a band with probability 0.985,
 one of 0.9 with 0.99997.
@@ -66,6 +68,11 @@ def _shingles(line: Column) -> Column:
     return F.array_distinct(F.transform(F.when(F.length(line) < SHINGLE_CHARS, F.array(line)).otherwise(whole), lambda s: F.xxhash64(s)))
 
 
+def _banded(distinct: DataFrame) -> DataFrame:
+    """key and bands of distinct lines (key, line)."""
+    return distinct.select("key", _bands(F.col("line")).alias("bands"))
+
+
 def occurrences(docs: DataFrame) -> DataFrame:
     """doc_id, at (line number), key (of the line's text) and line of every line that is not blank."""
     rows = id_and_text(docs).where("doc_id is not null and text is not null")
@@ -73,33 +80,59 @@ def occurrences(docs: DataFrame) -> DataFrame:
     return lines.where(F.col("line").rlike(r"[^\x20\x09-\x0D]")).select("doc_id", "at", F.xxhash64("line").alias("key"), "line")
 
 
-def similar_lines(docs: DataFrame, lines: DataFrame, percent: int = 80) -> DataFrame:
-    """Verified pairs (a, b) of keys of lines; lines: doc_id, at, key, bands."""
-    distinct = lines.groupBy("key").agg(F.min(F.struct("doc_id", "at")).alias("place"), F.first("bands").alias("bands"))
-    distinct = materialise(distinct)
-    banded = distinct.select("key", F.explode("bands").alias("band"))
-    ends = banded.groupBy("band").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low <> high")
-    met = banded.join(ends, "band")
-    pairs = met.select("key", F.explode(F.array("low", "high")).alias("other")).where("key <> other")
-    pairs = materialise(pairs.select(F.least("key", "other").alias("a"), F.greatest("key", "other").alias("b")).distinct())
-
-    # the texts of candidates only, from the place where each occurs first
-    wanted = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct().join(distinct.select("key", "place"), "key")
-    wanted = wanted.groupBy(F.col("place.doc_id").alias("doc_id")).agg(F.collect_list(F.struct(F.col("place.at").alias("at"), "key")).alias("spots"))
-    texts = id_and_text(docs).join(wanted.hint("shuffle_hash"), "doc_id").select(F.split("text", "\n").alias("parts"), "spots")
-    texts = texts.select(F.explode(F.transform("spots", lambda s: F.struct(s["key"].alias("key"), F.get("parts", s["at"]).alias("line")))).alias("x")).select("x.key", "x.line")
-    texts = materialise(texts.where(F.xxhash64("line") == F.col("key")).dropDuplicates(["key"]))
-
+def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose lines are similar; texts: key, line."""
+    pairs = materialise(pairs.distinct())
     first, second = texts.select(F.col("key").alias("a"), F.col("line").alias("line_a")), texts.select(F.col("key").alias("b"), F.col("line").alias("line_b"))
     both = pairs.join(first, "a").join(second, "b").select("a", "b", _shingles(F.col("line_a")).alias("x"), _shingles(F.col("line_b")).alias("y"))
     shared = both.select("a", "b", F.size(F.array_intersect("x", "y")).alias("shared"), (F.size("x") + F.size("y")).alias("total"))
-    return shared.where(100 * F.col("shared") >= percent * (F.col("total") - F.col("shared"))).select("a", "b")
+    return materialise(shared.where(100 * F.col("shared") >= percent * (F.col("total") - F.col("shared"))).select("a", "b"))
+
+
+def _rest(met: DataFrame, tied: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of lines of open buckets that may be similar and are in different components."""
+    members = met.where("n > 3").select("band", "key").join(tied.withColumnRenamed("node", "key"), "key", "left")
+    members = materialise(members.select("band", "key", F.coalesce("component", "key").alias("component")))
+    still = members.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("band")
+    lines = members.join(still, "band").select("key", "component").distinct()
+    sets = materialise(texts.join(lines, "key").select("key", "component", _shingles(F.col("line")).alias("x")))
+    # rarest first, ties by value: one order for all sets
+    rows = sets.select("key", "component", F.size("x").alias("size"), F.explode("x").alias("shingle"))
+    often = rows.groupBy("shingle").agg(F.count("*").alias("often"), F.min("component").alias("low"), F.max("component").alias("high"))
+    ordered = rows.join(often, "shingle").groupBy("key", "component", "size").agg(F.array_sort(F.collect_list(F.struct("often", "shingle", (F.col("low") != F.col("high")).alias("mixed")))).alias("x"))
+    # x finds y, not larger than x, by one of the first |x| - ceil(t |x|) + 1 of x and |y| - ceil(2 t / (1 + t) |y|) + 1 of y
+    size = F.col("size")
+    probe, index = (size - F.expr(f"(size * {up} + {down} - 1) div {down}").cast("int") + 1 for up, down in ((percent, 100), (2 * percent, 100 + percent)))
+
+    def sides(front: Column) -> DataFrame:
+        fronts = ordered.select("key", "component", "size", F.explode(F.slice("x", 1, front)).alias("s")).where("s.mixed")
+        return fronts.groupBy(F.col("s.shingle").alias("shingle"), "component").agg(F.collect_list(F.struct("key", "size")).alias("keys"))
+
+    # components meet, so no pair within one is made
+    ordered = materialise(ordered)
+    small = sides(index).select("shingle", F.col("component").alias("beyond"), F.col("keys").alias("others"))
+    apart = sides(probe).join(small, "shingle").where("component <> beyond").select(F.explode("keys").alias("k"), "others").select("k", F.explode("others").alias("o"))
+    near = (F.col("k.size") >= F.col("o.size")) & (100 * F.col("o.size") >= percent * F.col("k.size"))
+    return apart.where(near).select(F.least("k.key", "o.key").alias("a"), F.greatest("k.key", "o.key").alias("b"))
+
+
+def similar_lines(lines: DataFrame, percent: int = 80) -> DataFrame:
+    """Verified pairs (a, b) of keys that join similar lines; lines: key, line."""
+    distinct = lines.groupBy("key").agg(F.first("line").alias("line"))
+    banded = materialise(_banded(distinct)).select("key", F.explode("bands").alias("band"))
+    ends = banded.groupBy("band").agg(F.min("key").alias("low"), F.max("key").alias("high"), F.count("*").alias("n")).where("low <> high")
+    met = materialise(banded.join(ends, "band"))
+    texts = materialise(distinct.join(met.select("key").distinct(), "key"))
+    pairs = met.select("key", F.explode(F.array("low", "high")).alias("other")).where("key <> other")
+    found = _verified(pairs.select(F.least("key", "other").alias("a"), F.greatest("key", "other").alias("b")), texts, percent)
+    return found.unionByName(_verified(_rest(met, components(found, "a", "b"), texts, percent), texts, percent))
 
 
 def removed_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
     """doc_id and the sorted numbers of the lines to remove, of documents that lose any."""
-    lines = materialise(occurrences(docs).select("doc_id", "at", "key", _bands(F.col("line")).alias("bands")))
-    tied = components(similar_lines(docs, lines, percent), "a", "b")
+    found = occurrences(docs)
+    lines = materialise(found.select("doc_id", "at", "key"))
+    tied = components(similar_lines(found, percent), "a", "b")
     grouped = lines.select("doc_id", "at", "key").join(tied.withColumnRenamed("node", "key"), "key", "left").select("doc_id", "at", F.coalesce("component", "key").alias("component"))
     place = F.struct("doc_id", "at")
     kept = grouped.groupBy("component").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last").select("component", "first")

@@ -209,6 +209,20 @@ def test_fuzzy_lines(edge, small, small_rows):
         assert missed <= 0.02 * wanted
 
 
+def test_near_lines_inside_a_large_bucket(spark):
+    rng = random.Random(11)
+    head = "the service of region north accepted a request from the front of the house and wrote it to the journal under the number "
+    varied = ["".join(rng.choice("abcdefghkmnp0123456789") for _ in range(18)) for _ in range(1500)]
+    near = [v[:9] + rng.choice("xyz") + v[10:] for v in varied[:100]]
+    texts = [f"{head}{v[:6]} {v[6:12]} {v[12:]}" for v in varied + near]
+    rng.shuffle(texts)
+    rows = [(i, "\n".join(texts[i::50])) for i in range(50)]
+    expected = brute.fuzzy_lines(rows)
+    got = {r["doc_id"]: set(r["gone"]) for r in lines.removed_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    wanted = sum(map(len, expected.values()))
+    assert 95 <= wanted < 1000 and (wanted, sum(map(len, got.values()))) == (wanted, wanted) and got == {i: set(x) for i, x in expected.items() if x}
+
+
 def test_lines_are_cut_from_documents(spark):
     rows = [(1, "first line of text\nshared boilerplate line here", "a"), (2, "shared boilerplate line here\n\nown words stand here", "b"), (3, "shared boilerplate line here", "c"), (4, None, "d"), (None, "shared boilerplate line here", "e")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, key string")
