@@ -1,8 +1,8 @@
 """Fuzzy line deduplication by MinHash, in DataFrame expressions only.
 
 1. Equal lines are one from here on, known by a hash. Every distinct line gets a
-   MinHash signature of its character shingles that begin at words (at every
-   character where a line has hardly any spaces), cut into bands.
+   MinHash signature of its character shingles, the same that step 3 compares, cut
+   into bands. Shingles are rows that one hash aggregate takes up without a shuffle.
 2. Lines that share a band meet its smallest and its largest line as candidates:
    a bucket of n lines makes 2n pairs, and its ends are aggregated before the shuffle.
 3. Candidates are verified by the exact Jaccard similarity of all their character
@@ -23,6 +23,7 @@ repeated rows are cut alike, since they hold the same occurrences.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,45 +33,56 @@ from tempora.llm.components import components
 from tempora.llm.textkit import id_and_text, materialise, read_table
 
 BANDS, ROWS = 8, 4
-#: Characters of a shingle in the signature, and in the exact comparison.
-SIGNATURE_CHARS, SHINGLE_CHARS = 6, 5
+SHINGLE_CHARS = 5
+#: Cells in which shingles are counted for their order.
+CELLS = 1 << 16
 
 
-def _masks() -> list[int]:
-    """Fixed 64-bit masks; x ^ mask permutes the hashes anew for each of them."""
+def _masks() -> list[list[int]]:
+    """Fixed 64-bit masks, ROWS for each band; x ^ mask permutes the hashes anew for each of them.
+
+    The lowest value depends on the leading bits alone, so masks of one row differ in them.
+    """
     found, state = [], 0x9E3779B97F4A7C15
-    for _ in range(BANDS * ROWS):
-        state = (state * 6364136223846793005 + 1442695040888963407) % (1 << 64)
-        found.append((state ^ state >> 29) - (1 << 63))
+    for band in range(BANDS):
+        found.append([])
+        for row in range(ROWS):
+            state = (state * 6364136223846793005 + 1442695040888963407) % (1 << 64)
+            turn = row % 3
+            lead = (band << turn | band >> 3 - turn) & 7
+            found[-1].append((lead << 61 | (state ^ state >> 29) & (1 << 61) - 1) - (1 << 63))
     return found
 
 
-def _bands(line: Column) -> Column:
-    """The band hashes of a line's signature."""
-    at_words = F.regexp_extract_all(line, F.lit(rf"(?s)(?<![^ ])(?=([^ ].{{0,{SIGNATURE_CHARS - 1}}}))"), F.lit(1))
-    everywhere = F.regexp_extract_all(line, F.lit(rf"(?s)(?=(.{{1,{SIGNATURE_CHARS}}}))"), F.lit(1))
-    spaced = F.length(F.regexp_replace(line, "[^ ]", "")) * 12 + 12 >= F.length(line)
-    hashes = F.transform(F.array_distinct(F.when(spaced, at_words).otherwise(everywhere)), lambda s: F.xxhash64(s))
+def _wide(line: Column) -> Column:
+    """Four bytes a character, so that a shingle is found at its place."""
+    return F.encode(line, "UTF-32")
+
 
-    def lowest_under(h: Column, mask: int) -> Column:
-        return F.array_min(F.transform(h, lambda x: x.bitwiseXOR(F.lit(mask))))
+def _places(wide: Column) -> Column:
+    return F.sequence(F.lit(0), F.greatest(F.floor(F.octet_length(wide) / 4).cast("int") - SHINGLE_CHARS, F.lit(0)))
 
-    def signed(h: Column) -> Column:
-        lowest = [lowest_under(h, mask) for mask in _masks()]
-        return F.array(*(F.xxhash64(F.lit(b), *lowest[b * ROWS : (b + 1) * ROWS]) for b in range(BANDS)))
 
-    # a lambda over one array keeps the hashes from being computed once a mask
-    return F.transform(F.array(hashes), signed)[0]
+def _shingle(wide: Column, at: Column) -> Column:
+    return F.xxhash64(F.substring(wide, 4 * at + 1, F.lit(4 * SHINGLE_CHARS)))
 
 
 def _shingles(line: Column) -> Column:
-    whole = F.regexp_extract_all(line, F.lit(rf"(?s)(?=(.{{{SHINGLE_CHARS}}}))"), F.lit(1))
-    return F.array_distinct(F.transform(F.when(F.length(line) < SHINGLE_CHARS, F.array(line)).otherwise(whole), lambda s: F.xxhash64(s)))
+    # a lambda over one array keeps the line from being encoded once a shingle
+    return F.array_distinct(F.transform(F.array(_wide(line)), lambda w: F.transform(_places(w), lambda at: _shingle(w, at)))[0])
 
 
 def _banded(distinct: DataFrame) -> DataFrame:
-    """key and bands of distinct lines (key, line)."""
-    return distinct.select("key", _bands(F.col("line")).alias("bands"))
+    """key and bands of distinct lines (key, line), which stay where they are when dealt by key."""
+    rows = distinct.select("key", _wide(F.col("line")).alias("wide"))
+    rows = rows.select("key", "wide", F.explode(_places(F.col("wide"))).alias("at")).select("key", _shingle(F.col("wide"), F.col("at")).alias("x"))
+    step = 64 // ROWS
+    turned = [F.shiftleft("x", step * r).bitwiseOR(F.shiftrightunsigned("x", 64 - step * r)) if r else F.col("x") for r in range(ROWS)]
+    rows = rows.select("key", *(turned[r].alias(f"x{r}") for r in range(ROWS)))
+    masks = _masks()
+    lowest = [F.min(F.col(f"x{r}").bitwiseXOR(F.lit(masks[b][r]))).alias(f"m{b}_{r}") for b in range(BANDS) for r in range(ROWS)]
+    bands = F.array(*(F.xxhash64(F.lit(b), *(f"m{b}_{r}" for r in range(ROWS))) for b in range(BANDS)))
+    return rows.groupBy("key").agg(*lowest).select("key", bands.alias("bands"))
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
@@ -95,23 +107,22 @@ def _rest(met: DataFrame, tied: DataFrame, texts: DataFrame, percent: int) -> Da
     members = materialise(members.select("band", "key", F.coalesce("component", "key").alias("component")))
     still = members.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("band")
     lines = members.join(still, "band").select("key", "component").distinct()
-    sets = materialise(texts.join(lines, "key").select("key", "component", _shingles(F.col("line")).alias("x")))
-    # rarest first, ties by value: one order for all sets
-    rows = sets.select("key", "component", F.size("x").alias("size"), F.explode("x").alias("shingle"))
-    often = rows.groupBy("shingle").agg(F.count("*").alias("often"), F.min("component").alias("low"), F.max("component").alias("high"))
-    ordered = rows.join(often, "shingle").groupBy("key", "component", "size").agg(F.array_sort(F.collect_list(F.struct("often", "shingle", (F.col("low") != F.col("high")).alias("mixed")))).alias("x"))
+    chosen = materialise(texts.join(lines, "key").select("key", "component", "line"))
+    sets = chosen.select("key", "component", _shingles(F.col("line")).alias("x"))
+    # rarest first: one order for all sets, by the size of a shingle's cell and its value, so no shingle travels to be counted
+    cell = F.pmod(F.col("shingle"), F.lit(CELLS)).cast("int").alias("cell")
+    sizes = bytearray(CELLS)
+    for row in sets.select(F.explode("x").alias("shingle")).groupBy(cell).count().collect():  # at most CELLS rows
+        sizes[row["cell"]] = min(255, int(8 * math.log2(1 + row["count"])))
+    ordered = F.array_sort(F.transform("x", lambda h: F.struct(F.substring(F.lit(sizes), F.pmod(h, F.lit(CELLS)).cast("int") + 1, F.lit(1)).alias("often"), h.alias("shingle"))))
     # x finds y, not larger than x, by one of the first |x| - ceil(t |x|) + 1 of x and |y| - ceil(2 t / (1 + t) |y|) + 1 of y
-    size = F.col("size")
-    probe, index = (size - F.expr(f"(size * {up} + {down} - 1) div {down}").cast("int") + 1 for up, down in ((percent, 100), (2 * percent, 100 + percent)))
-
-    def sides(front: Column) -> DataFrame:
-        fronts = ordered.select("key", "component", "size", F.explode(F.slice("x", 1, front)).alias("s")).where("s.mixed")
-        return fronts.groupBy(F.col("s.shingle").alias("shingle"), "component").agg(F.collect_list(F.struct("key", "size")).alias("keys"))
-
+    probe, index = (F.col("size") - F.expr(f"(size * {up} + {down} - 1) div {down}").cast("int") + 1 for up, down in ((percent, 100), (2 * percent, 100 + percent)))
+    fronts = sets.select("key", "component", F.size("x").alias("size"), ordered.alias("x")).select("key", "component", "size", F.posexplode(F.slice("x", 1, probe)).alias("at", "s"))
+    fronts = fronts.select(F.col("s.shingle").alias("shingle"), "component", F.struct("key", "size", (F.col("at") < index).alias("index")).alias("k"))
     # components meet, so no pair within one is made
-    ordered = materialise(ordered)
-    small = sides(index).select("shingle", F.col("component").alias("beyond"), F.col("keys").alias("others"))
-    apart = sides(probe).join(small, "shingle").where("component <> beyond").select(F.explode("keys").alias("k"), "others").select("k", F.explode("others").alias("o"))
+    sides = fronts.repartition("shingle").groupBy("shingle", "component").agg(F.collect_list("k").alias("keys"))
+    small = sides.select("shingle", F.col("component").alias("beyond"), F.filter("keys", lambda k: k["index"]).alias("others")).where(F.size("others") > 0)
+    apart = sides.join(small, "shingle").where("component <> beyond").select(F.explode("keys").alias("k"), "others").select("k", F.explode("others").alias("o"))
     near = (F.col("k.size") >= F.col("o.size")) & (100 * F.col("o.size") >= percent * F.col("k.size"))
     return apart.where(near).select(F.least("k.key", "o.key").alias("a"), F.greatest("k.key", "o.key").alias("b"))
 

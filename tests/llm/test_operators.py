@@ -223,6 +223,34 @@ def test_near_lines_inside_a_large_bucket(spark):
     assert 95 <= wanted < 1000 and (wanted, sum(map(len, got.values()))) == (wanted, wanted) and got == {i: set(x) for i, x in expected.items() if x}
 
 
+def test_recall_of_near_lines_without_exact_repeats(spark):
+    rng = random.Random(5)
+
+    def line(gap):
+        chars = [rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(45, 130))]
+        return "".join(" " if gap and i % gap == gap - 1 else c for i, c in enumerate(chars))
+
+    def edited(text):
+        at = rng.randrange(1, len(text) - 1)
+        return text[:at] + rng.choice(["", rng.choice("abcxyz "), text[at] + rng.choice("abcxyz ")]) + text[at + 1 :]
+
+    def alike(a, b):
+        x, y = ({t[i : i + 5] for i in range(len(t) - 4)} for t in (a, b))
+        return len(x & y) / len(x | y)
+
+    # prose, lines about the former test for spaces (one in 12 characters), and lines without any
+    for gap in (6, 12, 0):
+        pairs = []
+        while len(pairs) < 1000:
+            first = line(gap)
+            second = edited(edited(first)) if rng.random() < 0.5 else edited(first)
+            if 0.8 <= alike(first, second) <= 0.85:
+                pairs.append((first, second))
+        docs = spark.createDataFrame([(1, "\n".join(a for a, _ in pairs)), (2, "\n".join(b for _, b in pairs))], "doc_id long, text string")
+        got = {r["doc_id"]: set(r["gone"]) for r in lines.removed_lines(docs).collect()}
+        assert set(got) == {2} and len(got[2]) >= 0.975 * len(pairs), (gap, len(got[2]))
+
+
 def test_lines_are_cut_from_documents(spark):
     rows = [(1, "first line of text\nshared boilerplate line here", "a"), (2, "shared boilerplate line here\n\nown words stand here", "b"), (3, "shared boilerplate line here", "c"), (4, None, "d"), (None, "shared boilerplate line here", "e")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, key string")
