@@ -43,9 +43,9 @@ REMEMBERED = 1_000_000
 
 
 def errors_allowed(term: str) -> int:
-    """Stems and short words match as they are; longer words with one error, from ten letters on with two."""
-    n = len(term) - 1
-    return 0 if term[-1] != END or n < 5 else 1 if n < 10 else 2
+    """Short terms match as they are; longer ones, words and stems alike, with one error, from eight letters on with two."""
+    n = len(term.rstrip(END))
+    return 0 if n < 5 else 1 if n < 8 else 2
 
 
 class Lexicon:

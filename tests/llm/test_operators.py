@@ -277,6 +277,13 @@ def test_automaton_equals_edit_distance():
         assert toxicity.Lexicon(terms).match(word) == (min(found) if found else None)
 
 
+def test_misspelled_stems_match():
+    lexicon = toxicity.Lexicon(["idiot", "wretchedly$"])
+    assert lexicon.match("idiots") == (0, "idiot") and lexicon.match("idjots") == (1, "idiot") and lexicon.match("iidiotic") == (1, "idiot")
+    assert toxicity.Lexicon(["wretched$"]).match("wrejchad") == (2, "wretched$") and toxicity.Lexicon(["wretched"]).match("wrejchadly") == (2, "wretched")
+    assert lexicon.match("garden") is None
+
+
 def test_quotations_count_apart():
     scorer = toxicity.Scorer(toxicity.Lexicon(["idiot$"]))
     plain, quoted, near = scorer.features("you idiot go"), scorer.features('she said "you idiot" once'), scorer.features("you idjot go")
