@@ -202,14 +202,13 @@ def _quoted(before: str, after: str) -> bool:
     return opened and any(mark in after for mark in CLOSING)
 
 
-def learn_terms(sample: DataFrame, least: int = 4, share: float = 0.01, purity: float = 0.8, most_terms: int = 200) -> list[str]:
+def learn_terms(sample: DataFrame, least: int = 4, purity: float = 0.8) -> list[str]:
     """Words and stems of at least three letters that mark toxic documents of a bounded sample.
 
-    A term stands in at least `least` toxic documents, and in `share` of them;
-    the most frequent ones count, copies of a document once.
+    A term stands in at least `least` toxic documents, copies of a document counted
+    once, and in few others. However many terms pass that test, all of them count.
     """
     sample = materialise(sample.dropDuplicates(["text"]))
-    least = max(least, int(share * sample.where("toxic = 1").count()))
 
     def stems(text: str | None) -> set[str]:
         words = set(TOKEN.findall((text or "").lower()))
@@ -250,7 +249,7 @@ def learn_terms(sample: DataFrame, least: int = 4, share: float = 0.01, purity:
                 break
             longer = best
         chosen.append(longer)
-    return sorted(chosen, key=lambda s: (-pure[s], s))[:most_terms]
+    return sorted(chosen, key=lambda s: (-pure[s], s))
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 16_000) -> Scorer:

@@ -284,6 +284,19 @@ def test_misspelled_stems_match():
     assert lexicon.match("garden") is None
 
 
+def test_rare_terms_stay_however_many_labels(spark):
+    names = [f"{a}{b}{c}orn" for a in "bcdfgh" for b in "jklmnp" for c in "qrstvwx"]
+    rng = random.Random(8)
+
+    def prose(n):
+        return " ".join(rng.choice(("alpha", "beta", "gamma", "delta", "epsilon")) + str(rng.randrange(40)) for _ in range(n))
+
+    toxic = [f"{name} {prose(6)}" for name in names for _ in range(4)]
+    rows = [(t, 1) for t in toxic] + [(prose(12), 0) for _ in toxic]
+    found = toxicity.learn_terms(spark.createDataFrame(rows, "text string, toxic int"))
+    assert len(names) == 252 and all(any(name.startswith(term.rstrip(toxicity.END)) for term in found) for name in names)
+
+
 def test_quotations_count_apart():
     scorer = toxicity.Scorer(toxicity.Lexicon(["idiot$"]))
     plain, quoted, near = scorer.features("you idiot go"), scorer.features('she said "you idiot" once'), scorer.features("you idjot go")
