@@ -448,6 +448,20 @@ def test_pipeline_stages(spark, tmp_path):
     assert set(packed.doc_id) == {i for i, _ in rows}
 
 
+def test_pipeline_joins_near_copies_by_five_words(spark):
+    rng = random.Random(2)
+    rows = []
+    for i in range(6):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(200)]
+        rows.append((2 * i, " ".join(words)))
+        for at in (30, 70, 110, 150)[: 4 if i < 4 else 3] if i else (20, 50, 80, 110, 140, 170):
+            words[at] = f"new{i}x{at}"
+        rows.append((2 * i + 1, " ".join(words)))
+    kept = corpus_pipeline.keep_one_of_each(spark, spark.createDataFrame(rows, "doc_id long, text string"), SF)
+    expected = {i for i, (_, c) in brute.jaccard(rows, percent=80, size=5).items() if i == c}
+    assert {r[0] for r in kept.collect()} == expected == {0, 1, 2, 4, 6, 8, 10}
+
+
 def test_pipeline_stages_on_edge_cases(spark, edge, tmp_path):
     kept = edge.withColumn("n_chars", edge["doc_id"])
     for _, stage in corpus_pipeline.STAGES[1:-1]:
