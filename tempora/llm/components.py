@@ -3,8 +3,8 @@
 Rounds of large-star and small-star steps hang every node below the smallest
 node it has seen. A round's links are written to the shared folder and read
 again, so lineage stays short and a lost executor costs one round at most.
-Minima are aggregated before the shuffle; a node with very many links splits
-among tasks as a skewed join.
+Minima are aggregated before the shuffle; the links of a node that has a
+thousandth of them all, or more, are dealt to several tasks.
 """
 
 from __future__ import annotations
@@ -14,6 +14,24 @@ from pyspark.sql import functions as F
 
 from tempora.llm.textkit import materialise
 
+#: A key with more than this share of all rows is dealt to several tasks; at most so many keys are.
+SHARES = 1000
+
+
+def salted_join(left: DataFrame, right: DataFrame, on: list[str], n: str, total: int, by: str) -> DataFrame:
+    """left joined with right, which has one row a key and in n how many rows of left have that key.
+
+    The sum of n is at most total. Rows of a key with more than total / SHARES rows,
+    fewer than SHARES keys in all and so small enough to broadcast, are dealt by the
+    column `by` among as many tasks as the key has shares.
+    """
+    copies = F.expr(f"({n} * {SHARES} div {max(1, total)}) + 1").cast("int")
+    often = right.where(copies > 1).select(*on, copies.alias("salts"))
+    salt = F.when(F.col("salts").isNull(), 0).otherwise(F.pmod(F.xxhash64(by), F.col("salts"))).cast("int")
+    dealt = left.join(F.broadcast(often), on, "left").withColumn("salt", salt).drop("salts")
+    held = right.withColumn("salt", F.explode(F.sequence(F.lit(0), copies - 1)))
+    return dealt.join(held, [*on, "salt"]).drop("salt")
+
 
 def components(links: DataFrame, a: str, b: str) -> DataFrame:
     """node and component (the smallest node reachable) of every linked node."""
@@ -21,10 +39,10 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
     state = _state(pairs)
     while state[0]:
         both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v")
+        low = both.groupBy("u").agg(F.min("v").alias("m"), F.count_if(F.col("v") > F.col("u")).alias("n")).select("u", F.least("u", "m").alias("m"), "n")
+        large = salted_join(both.where("v > u"), low, ["u"], "n", state[0], "v").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        low = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+        small = salted_join(large, low, ["u"], "n", state[0], "v").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v")
         pairs = materialise(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct())
         before, state = state, _state(pairs)
         if state == before:
