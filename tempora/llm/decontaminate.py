@@ -11,11 +11,13 @@ along the last-to-first mapping. Overlapping occurrences merge into the spans
 to remove.
 
 Nothing is shuffled unless the benchmark is larger than one block of phrases:
-each block is a pass over the documents, and their spans then meet by doc_id.
+each block is a pass over the documents, and their spans then meet by a number of
+the row.
 
 Defined results: null, empty and wordless texts have no words, no hits and are
-not contaminated; null and wordless benchmark items have no windows; a null
-doc_id stays null; equal rows give equal result rows; an empty benchmark hits
+not contaminated; null and wordless benchmark items have no windows; benchmark
+rows of one item_id are one item with the windows of all; rows without an item_id
+are none; a null doc_id stays null; equal rows give equal result rows; an empty benchmark hits
 nothing.
 """
 
@@ -30,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tempora.llm.suffixes import suffix_array
-from tempora.llm.textkit import ALNUM_WORDS, Words, binary, blocks, id_and_text, read_table, window_hash
+from tempora.llm.textkit import ALNUM_WORDS, Words, binary, blocks, id_and_text, materialise, read_table, window_hash
 
 SPAN = "struct<first:long,last:long>"
 #: UTF-8 bytes of benchmark text in one block of phrases, which is broadcast.
@@ -149,7 +151,9 @@ class Phrases:
 
     def __init__(self, items: list[tuple[str, str]], size: int):
         texts = pa.array([t or "" for _, t in items], pa.large_string())
-        self.names = [i for i, _ in items]
+        # an item_id that stands in several rows is one item
+        self.names = list(dict.fromkeys(i for i, _ in items))
+        number = {name: at for at, name in enumerate(self.names)}
         data, offsets = binary(texts)
         words = Words(data, offsets, ALNUM_WORDS, lower=True)
         hashes = words.hashes()
@@ -163,7 +167,7 @@ class Phrases:
                 k = min(size, int(n))
                 view = np.lib.stride_tricks.sliding_window_view(own, k)
                 rows.setdefault(k, []).append(view)
-                owners.setdefault(k, []).append(np.full(len(view), item))
+                owners.setdefault(k, []).append(np.full(len(view), number[items[item][0]]))
         self.groups = []
         for k in rows:
             table, back = np.unique(np.concatenate(rows[k]), axis=0, return_inverse=True)
@@ -300,8 +304,8 @@ def merge_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 def _merge_passes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        spans = [[{"first": a, "last": b} for a, b in merge_spans([(s["first"], s["last"]) for s in row])] for row in batch.column(3).to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array(spans, _RESULT.field(2).type), batch.column(4)], schema=_RESULT)
+        spans = [[{"first": a, "last": b} for a, b in merge_spans([(s["first"], s["last"]) for s in row])] for row in batch.column(2).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(spans, _RESULT.field(2).type), batch.column(3)], names=["row", *_RESULT.names[1:]])
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, size: int = 13, block_text: int = BLOCK_TEXT, shard_bytes: int = SHARD_BYTES) -> DataFrame:
@@ -316,25 +320,17 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = 13, block_t
     passes = max(1, math.ceil(total / block_text))
     if passes == 1:
         return find_hits(docs, [tuple(r) for r in items.collect()], size, shard_bytes)
-    # equal doc_ids keep apart by a number of their own row
-    rows = docs.select(F.col("doc_id"), F.col("text"))
-    found = []
+    # rows of one doc_id, or of none, are told apart by a number that is written with them
+    rows = materialise(id_and_text(docs).select(F.monotonically_increasing_id().alias("row"), "doc_id", "text"))
+    found = None
     for n in range(passes):
         block = items.where(F.pmod(F.xxhash64("item_id"), F.lit(passes)) == n)
-        found.append(find_hits(rows, [tuple(r) for r in block.collect()], size, shard_bytes))
-    union = found[0]
-    for more in found[1:]:
-        union = union.unionByName(more)
-    # rows of one document differ between passes in spans and items only; copies of a row stay copies
-    numbered = union.groupBy("doc_id", "n_words").agg(F.flatten(F.collect_list("spans")).alias("spans"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"), (F.count("*") / passes).cast("int").alias("copies"))
-    merged = numbered.select("copies", "doc_id", "n_words", "spans", "items").mapInArrow(_keep_copies, "copies int, doc_id long, n_words long, spans array<struct<first:long,last:long>>, items array<string>")
-    return merged.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).drop("copies", "copy")
-
-
-def _keep_copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for merged in _merge_passes(iter([batch])):
-            yield pa.RecordBatch.from_arrays([batch.column(0), *merged.columns], names=["copies", *merged.schema.names])
+        hits = find_hits(rows.select(F.col("row").alias("doc_id"), "text"), [tuple(r) for r in block.collect()], size, shard_bytes)
+        found = hits if found is None else found.unionByName(hits)
+    # every item is in one block
+    numbered = found.groupBy("doc_id").agg(F.first("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("spans"), F.flatten(F.collect_list("items")).alias("items"))
+    merged = numbered.mapInArrow(_merge_passes, f"row long, n_words long, spans array<{SPAN}>, items array<string>")
+    return rows.select("row", "doc_id").join(merged, "row").drop("row")
 
 
 def judged(found: DataFrame) -> DataFrame:
