@@ -8,6 +8,7 @@ no Python code runs per word.
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -23,6 +24,9 @@ BYTE_BASE = 0x9E3779B97F4A7C15
 WORD_BASE = 0xD6E8FEB86659FD93
 WORD_BASE_2 = 0xA0761D6478BD642F
 
+#: Bytes beyond which a word gets a digest in place of a polynomial.
+LONG_WORD = 64
+
 #: Bytes of text handled at once; a longer document makes a block of its own.
 BLOCK_BYTES = 1 << 20
 
@@ -133,7 +137,11 @@ class Words:
         self.counts = np.diff(self.first)
 
     def hashes(self) -> np.ndarray:
-        return range_hash(self.data.astype(U64) + U64(1), self.starts, self.ends, BYTE_BASE)
+        found = range_hash(self.data.astype(U64) + U64(1), self.starts, self.ends, BYTE_BASE)
+        # polynomials mod 2**64 agree on some long words by construction, whatever the base
+        for at in np.flatnonzero(self.ends - self.starts > LONG_WORD):
+            found[at] = int.from_bytes(hashlib.blake2b(self.data[self.starts[at] : self.ends[at]].tobytes(), digest_size=8).digest(), "little")
+        return found
 
     def windows(self, k: int) -> np.ndarray:
         """First words of all windows of k words that stay in one document."""
@@ -176,7 +184,9 @@ def sliding(values: np.ndarray, span: int, pick: np.ufunc, fill: int) -> np.ndar
 def scratch(spark: SparkSession) -> str:
     """The folder that driver and executors share; set here only where it is unset."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not folder:  # a single machine, as in tests
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         folder = f"file://{tempfile.gettempdir()}/tempora-shared"
     return folder.rstrip("/")
 
@@ -189,6 +199,18 @@ def materialise(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def hash_sample(rows: DataFrame, key: str, most: int) -> DataFrame:
+    """At most `most` rows, those with the smallest hashes of key.
+
+    A bound on the hash leaves about twice as many before they are ordered, however many there are.
+    """
+    total = rows.count()
+    place = F.xxhash64(key)
+    if total > 2 * most:
+        rows = rows.where(place < -(1 << 63) + int((1 << 64) * (2 * most / total)))
+    return rows.orderBy(place, key).limit(most)
+
+
 def id_and_text(docs: DataFrame, *more: str) -> DataFrame:
     """Only the columns an operator reads, whatever else the table holds."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *more)
