@@ -14,8 +14,8 @@ smallest hash of doc_id among rows whose crc32(doc_id) mod 3 is not 1; scores
 cover every document. Only the text is an input of a score.
 
 Defined results: null and empty texts score like a text without any match; a
-null doc_id is never a training row and not held out; equal rows give equal
-result rows; without toxic and other training rows every score is 0.
+null doc_id is never a training row and not held out; of several labels of one
+doc_id the larger counts; equal rows give equal result rows; without toxic and other training rows every score is 0.
 """
 
 from __future__ import annotations
@@ -30,11 +30,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tempora.llm.textkit import id_and_text, materialise, read_table
+from tempora.llm.textkit import hash_sample, id_and_text, materialise, read_table
 
 TOKEN = re.compile(r"[^\W_]+")
 #: Marks the end of a word in the trie and in counts of stems.
 END = "$"
+#: Letters of the longest stem.
+LONGEST = 40
 OPENING, CLOSING = '"“«„‟‹', '"”»“›'
 #: Words on either side of a match that make its context.
 CONTEXT = 8
@@ -206,13 +208,14 @@ def learn_terms(sample: DataFrame, least: int = 4, purity: float = 0.8) -> list[
     """Words and stems of at least three letters that mark toxic documents of a bounded sample.
 
     A term stands in at least `least` toxic documents, copies of a document counted
-    once, and in few others. However many terms pass that test, all of them count.
+    once (toxic if any copy is), and in few others; a word gives stems of up to
+    LONGEST letters. However many terms pass that test, all of them count.
     """
-    sample = materialise(sample.dropDuplicates(["text"]))
+    sample = materialise(sample.groupBy("text").agg(F.max("toxic").alias("toxic")))
 
     def stems(text: str | None) -> set[str]:
         words = set(TOKEN.findall((text or "").lower()))
-        return {w[:n] for word in words if len(word) < 40 for w in (word + END,) for n in range(3, len(w) + 1) if w[n - 1] != END or n > 3}
+        return {w[:n] for word in words for w in ((word + END)[:LONGEST],) for n in range(3, len(w) + 1) if w[n - 1] != END or n > 3}
 
     def count(wanted: frozenset | None) -> Callable:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -255,7 +258,7 @@ def learn_terms(sample: DataFrame, least: int = 4, purity: float = 0.8) -> list[
 def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 16_000) -> Scorer:
     marks = labels.where("toxic is not null and doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
     marks = marks.where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 != 1).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    chosen = marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
+    chosen = hash_sample(marks, "doc_id", sample_rows)
     sample = materialise(id_and_text(docs).join(F.broadcast(chosen), "doc_id").select("text", "toxic"))  # at most sample_rows pairs are broadcast
     scorer = Scorer(Lexicon(learn_terms(sample)))
     shared = docs.sparkSession.sparkContext.broadcast(scorer)

@@ -468,3 +468,31 @@ def test_pipeline_stages_on_edge_cases(spark, edge, tmp_path):
         kept = textkit.materialise(stage(spark, kept, SF))
     assert {r[0] for r in kept.select("doc_id").collect()} >= {None, 1, 2, 3, 4, 5, 6, 9}
     assert corpus_pipeline.STAGES[-1][1](spark, kept, SF).count() > 0
+
+
+def test_benchmark_passes_agree_with_one_pass(spark):
+    hit, clean = " ".join(f"w{i}" for i in range(20)), " ".join(f"c{i}" for i in range(20))
+    docs = spark.createDataFrame([(5, hit), (5, clean), (None, hit), (None, clean), (7, hit), (7, hit), (8, None)], "doc_id long, text string")
+    benchmark = spark.createDataFrame([(1, hit), (1, hit), (2, " ".join(f"w{i}" for i in range(3, 17))), (1, "c1 c2 c3"), (None, clean)], "item_id long, text string")
+    one, many = (tuples(decontaminate.judged(decontaminate.contamination(docs, benchmark, block_text=n))) for n in (1 << 20, 60))
+    assert one == many
+    assert [r[:4] for r in one if r[0] == 7] == [(7, 20, 20, 2)] * 2
+    assert sorted(r[2:4] for r in one if r[0] in (5, None)) == [(3, 1), (3, 1), (20, 2), (20, 2)]
+
+
+def test_words_that_defeat_polynomials(spark):
+    word = "a"
+    while len(word) < 1024:
+        word += word.translate({97: 98, 98: 97})
+    other = word.translate({97: 98, 98: 97})
+    words = textkit.Words(np.frombuffer(f"{word} {other}".encode(), np.uint8), np.array([0, 2049]), textkit.SPACE_WORDS)
+    assert len(set(words.hashes().tolist())) == 2
+    docs = spark.createDataFrame([(1, word), (2, other)], "doc_id long, text string")
+    benchmark = spark.createDataFrame([(1, word)], "item_id long, text string")
+    assert [r[2] for r in tuples(decontaminate.judged(decontaminate.contamination(docs, benchmark)))] == [1, 0]
+
+
+def test_a_bounded_sample_is_that_of_the_smallest_hashes(spark):
+    rows = spark.range(5000).withColumnRenamed("id", "doc_id")
+    every = [r[0] for r in rows.orderBy(textkit.F.xxhash64("doc_id")).limit(100).collect()]
+    assert [r[0] for r in textkit.hash_sample(rows, "doc_id", 100).collect()] == every
