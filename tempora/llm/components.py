@@ -3,8 +3,9 @@
 Rounds of large-star and small-star steps hang every node below the smallest
 node it has seen. A round's links are written to the shared folder and read
 again, so lineage stays short and a lost executor costs one round at most.
-Minima are aggregated before the shuffle; the links of a node that has a
-thousandth of them all, or more, are dealt to several tasks.
+Minima are aggregated before the shuffle, and equal links after a large star are
+one; a node with very many links splits among tasks as a skewed join. salted_join
+does so for any join, by counts.
 """
 
 from __future__ import annotations
@@ -39,10 +40,10 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
     state = _state(pairs)
     while state[0]:
         both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m"), F.count_if(F.col("v") > F.col("u")).alias("n")).select("u", F.least("u", "m").alias("m"), "n")
-        large = salted_join(both.where("v > u"), low, ["u"], "n", state[0], "v").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        low = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
-        small = salted_join(large, low, ["u"], "n", state[0], "v").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v")
+        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v")
         pairs = materialise(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct())
         before, state = state, _state(pairs)
         if state == before:

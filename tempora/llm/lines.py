@@ -47,7 +47,7 @@ STEP = 8
 #: Groups of two minima, beside a band, that sub-buckets go by.
 GROUPS = 6
 #: Lines of a sub-bucket that meet without a further split, and the splits of larger ones.
-BUCKET_LINES, LEVELS = 128, 3
+BUCKET_LINES, LEVELS = 1024, 2
 #: Minima that similar lines differ in at most.
 UNLIKE = 13
 #: Cells in which shingles are counted for their order.
