@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tempora.llm.components import components, salted_join
-from tempora.llm.textkit import id_and_text, materialise, read_table
+from tempora.llm.textkit import id_and_text, materialise, read_table, scope
 
 BANDS, ROWS = 8, 4
 #: Bits that a signature holds of a minimum.
@@ -248,9 +248,8 @@ def similar_lines(table: DataFrame, found: DataFrame, percent: int = 80) -> Data
     return links.unionByName(_verified(_near(_rest(members.select("id", "component").distinct(), texts, percent), table), texts, percent))
 
 
-def removed_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
-    """doc_id and the sorted numbers of the lines to remove, of documents that lose any."""
-    found = occurrences(docs)
+def _kept_lines(found: DataFrame, percent: int) -> DataFrame:
+    """k1, k2, kept (the place that stays) and n of lines of which an occurrence goes; written once."""
     table = line_table(found)
     tied = components(similar_lines(table, found, percent), "a", "b").withColumnRenamed("node", "id")
     place = F.struct("doc_id", "at")
@@ -258,9 +257,16 @@ def removed_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
     firsts = member.groupBy("component").agg(F.min("own").alias("kept"), F.count("*").alias("members"))
     near = salted_join(member, firsts, ["component"], "members", member.count(), "id").select("k1", "k2", "kept", "n")
     same = table.where("n > 1").join(tied, "id", "left_anti").select("k1", "k2", place.alias("kept"), "n")
-    # lines of which an occurrence goes
-    known = materialise(near.unionByName(same))
+    return materialise(near.unionByName(same), keep=True)
+
+
+def removed_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
+    """doc_id and the sorted numbers of the lines to remove, of documents that lose any."""
+    found = occurrences(docs)
+    with scope(docs.sparkSession):
+        known = _kept_lines(found, percent)
     total = known.agg(F.sum("n").alias("n")).first()["n"] or 0
+    place = F.struct("doc_id", "at")
     everywhere = found.select("doc_id", "at", *_identity(F.col("line")))
     gone = salted_join(everywhere, known, ["k1", "k2"], "n", total, "doc_id").where(place != F.col("kept"))
     return gone.groupBy("doc_id").agg(F.array_sort(F.collect_set("at")).alias("gone"))

@@ -8,10 +8,12 @@ no Python code runs per word.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -191,14 +193,36 @@ def scratch(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Writes a table to the shared folder and reads it again: lineage ends here."""
+_SCOPES: list[list[str]] = []
+
+
+def materialise(df: DataFrame, keep: bool = False) -> DataFrame:
+    """Writes a table to the shared folder and reads it again: lineage ends here.
+
+    Inside a scope() the table is removed with it, unless it is to be kept.
+    """
     spark = df.sparkSession
     path = f"{scratch(spark)}/{uuid.uuid4().hex}"
+    if _SCOPES and not keep:
+        _SCOPES[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """Removes the tables that are written inside, and lets Spark drop the shuffles behind them."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        for path in _SCOPES.pop():
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        gc.collect()
+        spark._jvm.System.gc()
+
+
 def hash_sample(rows: DataFrame, key: str, most: int) -> DataFrame:
     """At most `most` rows, those with the smallest hashes of key.
 
