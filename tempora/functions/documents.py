@@ -8,12 +8,13 @@ import unicodedata
 from collections.abc import Sequence
 from typing import Any
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tempora.functions.text import OTHER_WIDTH, SPACE_WIDTH, WIDE_WIDTH
+from tempora.functions.text import code_point_widths
 
 _FENCE = re.compile(r"^\s*```[\w-]*\s*\n?(.*?)\n?```\s*$", re.S)
 
@@ -50,17 +51,25 @@ def json_records(texts: pd.Series) -> pd.Series:
     return pd.Series([None if r is None else [json.dumps(x, ensure_ascii=False) for x in r] for r in found], dtype=object)
 
 
-def flat_lines(value: Any, path: str = "") -> list[str]:
-    """path:value lines of a nested value; lists of scalars share one line, empty values have none."""
-    if value is None or value == "" or value == [] or value == {}:
-        return []
-    if isinstance(value, dict):
-        return [line for k, v in value.items() for line in flat_lines(v, f"{path}.{k}" if path else str(k))]
-    if isinstance(value, list):
-        if all(not isinstance(v, (dict, list)) for v in value):
-            return [f"{path}:{'｜'.join(str(v) for v in value)}"]
-        return [line for i, v in enumerate(value) for line in flat_lines(v, f"{path}[{i}]")]
-    return [f"{path}:{value}"]
+def _scalar(value: Any) -> str:
+    return "" if value is None else json.dumps(value) if isinstance(value, bool) else " ".join(str(value).split())
+
+
+def flat_lines(value: Any) -> list[str]:
+    """path:value lines of a nested value in its order, white space collapsed; a list of scalars is one line."""
+    lines, todo = [], [("", value)]
+    while todo:
+        path, item = todo.pop()
+        nested = isinstance(item, list) and any(isinstance(v, (dict, list)) for v in item)
+        if isinstance(item, dict):
+            inner = [(".".join(filter(None, (path, _scalar(k)))), v) for k, v in item.items()]
+            todo += reversed(inner)
+        elif nested:
+            todo += reversed([(f"{path}[{i}]", v) for i, v in enumerate(item)])
+        else:
+            text = "｜".join(map(_scalar, item)) if isinstance(item, list) else _scalar(item)
+            lines.append(f"{path}:{text}" if path else text)
+    return lines
 
 
 @F.pandas_udf(T.ArrayType(T.StringType()))
@@ -75,7 +84,7 @@ def normalised(texts: pd.Series) -> pd.Series:
 
 
 def _width(text: str) -> int:
-    return sum(SPACE_WIDTH if c.isspace() else 0 if unicodedata.combining(c) else WIDE_WIDTH if unicodedata.east_asian_width(c) in "WF" else OTHER_WIDTH for c in text)
+    return int(code_point_widths(text).sum())
 
 
 #: Marks after which a line may break (fixed values).
@@ -84,22 +93,26 @@ BREAK_MARKS = "，、；：。！？,;:.!?…"
 
 def two_lines(text: str, limit: int) -> str | None:
     """The most even split into lines of at most `limit` hundredths; breaks after marks, then at spaces, are preferred."""
-    best: tuple | None = None
-    upto = [0]
-    for c in text:
-        upto.append(upto[-1] + _width(c))
-    for at in range(1, len(text)):
-        left, right = text[:at].rstrip(), text[at:].lstrip()
-        if not left or not right:
-            continue
-        a, b = _width(left), _width(right)
-        if a > limit or b > limit:
-            continue
-        rank = 0 if left[-1] in BREAK_MARKS else 1 if text[at - 1].isspace() or text[at].isspace() else 2
-        key = (abs(a - b) + 100 * rank, rank, abs(a - b), at)
-        if best is None or key < best[0]:
-            best = (key, re.sub(r"[，、；：。,;:]+$", "", left) or left, re.sub(r"[，、；：。,;:]+$", "", right) or right)
-    return None if best is None else f"{best[1]}\n{best[2]}"
+    blank = np.array([c.isspace() for c in text], bool)
+    ink = np.flatnonzero(~blank)
+    if len(ink) < 2:
+        return None
+    widths = np.concatenate(([0], np.cumsum(code_point_widths(text))))
+    at = np.arange(1, len(text))
+    # the left line ends after its last character that is no space, the right one begins at its first
+    before, after = np.searchsorted(ink, at) - 1, np.searchsorted(ink, at)
+    at, before, after = (x[(before >= 0) & (after < len(ink))] for x in (at, before, after))
+    left, right = widths[ink[before] + 1], widths[-1] - widths[ink[after]]
+    marks = np.array([c in BREAK_MARKS for c in text], bool)[ink[before]]
+    rank = np.where(marks, 0, np.where(blank[at - 1] | blank[at], 1, 2))
+    uneven = np.abs(left - right)
+    order = np.lexsort((at, uneven, rank, uneven + 100 * rank))
+    order = order[(left <= limit)[order] & (right <= limit)[order]]
+    if not len(order):
+        return None
+    best = order[0]
+    lines = text[: ink[before[best]] + 1], text[ink[after[best]] :]
+    return "\n".join(re.sub(r"[，、；：。,;:]+$", "", line) or line for line in lines)
 
 
 def wrapped(text: Column, limit: int) -> Column:

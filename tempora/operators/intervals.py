@@ -140,13 +140,17 @@ def assign_label(cues: DataFrame, turns: DataFrame, percent: int = 35, pad: int
     """Adds `speaker` to cues (rid): the label that overlaps each most.
 
     A tie gives null. The best label needs `percent` of the cue's length. Below
-    that, the cue widened by `pad` is tried; its best label counts if it reaches
-    the same length and agrees with the unwidened one, or there was none.
+    that, turns widened by `pad` and cut to the cue are tried; their best label counts
+    if it reaches the same length and agrees with the unwidened one, or there was
+    none. Empty and null labels are no label; a cue without length gets null.
     """
-    wide = cues.select(*keys, "rid", (F.col("s") - pad).alias("s"), (F.col("e") + pad).alias("e"), F.col("s").alias("cue_s"), F.col("e").alias("cue_e"))
-    met = overlap_join(wide, turns.where("label is not null").select(*keys, "label", "s", "e"), keys, width)
-    inner = F.greatest(F.least("cue_e", "r_e") - F.greatest("cue_s", "r_s"), F.lit(0))
-    sums = met.groupBy(*keys, "rid", "cue_s", "cue_e", F.col("r_label").alias("label")).agg(F.sum(inner).alias("inner"), F.sum(F.col("o_e") - F.col("o_s")).alias("outer"))
+    wide = cues.where("e > s").select(*keys, "rid", (F.col("s") - pad).alias("s"), (F.col("e") + pad).alias("e"), F.col("s").alias("cue_s"), F.col("e").alias("cue_e"))
+    met = overlap_join(wide, turns.where("label <> ''").select(*keys, "label", "s", "e"), keys, width)
+
+    def inside(more: int) -> Column:
+        return F.sum(F.greatest(F.least(F.col("cue_e"), F.col("r_e") + more) - F.greatest(F.col("cue_s"), F.col("r_s") - more), F.lit(0)))
+
+    sums = met.groupBy(*keys, "rid", "cue_s", "cue_e", F.col("r_label").alias("label")).agg(inside(0).alias("inner"), inside(pad).alias("outer"))
 
     def top(amount: str, name: str) -> list[Column]:
         most = F.max(amount).over(Window.partitionBy(*keys, "rid"))

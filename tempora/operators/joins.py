@@ -58,11 +58,18 @@ def override(df: DataFrame, key: Sequence[str], value: str, order: str) -> DataF
     return df.groupBy(*key).agg(F.max_by(value, order).alias(value))
 
 
-def unique_entity(docs: DataFrame, aliases: DataFrame, text: Column) -> DataFrame:
-    """Adds `entity`: the only one of which an alias stands in the text; null if none or several."""
-    met = docs.withColumn("_text", F.lower(text)).join(small(aliases, 5000), F.col("_text").contains(F.lower("alias")), "left")
-    one = F.when(F.count_distinct("entity") == 1, F.max("entity"))
-    return met.groupBy(*docs.columns).agg(one.alias("entity"))
+def unique_entity(docs: DataFrame, aliases: DataFrame, text: Column, most: int = 100_000) -> DataFrame:
+    """Adds `entity`: the only one of which an alias stands in the text; null if none or several.
+
+    The dictionary of at most `most` aliases goes to every task as one array, so no
+    text is shuffled and repeated rows stay; a longer one is an error.
+    """
+    if aliases.limit(most + 1).count() > most:
+        raise ValueError(f"more than {most} aliases")
+    listed = aliases.select(F.col("entity").alias("e"), F.lower("alias").alias("a")).agg(F.collect_set(F.struct("e", "a")).alias("_listed"))
+    met = docs.withColumn("_text", F.lower(text)).join(F.broadcast(listed))
+    found = F.array_distinct(F.transform(F.filter("_listed", lambda x: F.col("_text").contains(x["a"])), lambda x: x["e"]))
+    return met.withColumn("entity", F.when(F.size(found) == 1, found[0])).drop("_text", "_listed")
 
 
 def latest_before(left: DataFrame, right: DataFrame, keys: Sequence[str], most: int, low: int, high: int) -> DataFrame:

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import unicodedata
+from bisect import bisect_left
 from collections.abc import Sequence
 from difflib import SequenceMatcher
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -45,10 +48,10 @@ def healthy_records(records: DataFrame, keys: Sequence[str] = ("job", "rec_ix"))
 
 
 def dense(windows: DataFrame, spans: DataFrame, most_silence: int = 15 * SECOND, least: float = 0.6, keys: Sequence[str] = ("job",)) -> DataFrame:
-    """Windows (rid, s, e) that spans cover well, with no pause longer than `most_silence`."""
-    pauses = iv.subtract(windows, spans, 1, keys).groupBy(*keys, "rid").agg(F.max(F.col("e") - F.col("s")).alias("_pause"))
-    covered = iv.coverage(windows, spans, keys).join(pauses, [*keys, "rid"], "left")
-    return covered.where((F.coalesce("_pause", F.lit(0)) <= most_silence) & (F.col("covered") >= least * (F.col("e") - F.col("s")))).drop("_pause", "covered")
+    """Windows (rid, s, e) that spans cover well, with at most `most_silence` of silence in all; none without length."""
+    length = F.col("e") - F.col("s")
+    covered = iv.coverage(windows, spans, keys)
+    return covered.where((length > 0) & (length - F.col("covered") <= most_silence) & (F.col("covered") >= least * length)).drop("covered")
 
 
 def boundary_specs(plan: DataFrame, windows: DataFrame, keys: Sequence[str] = ("job",)) -> DataFrame:
@@ -101,30 +104,34 @@ def pack_phrases(cues: DataFrame, most: int, bypass: Sequence[str] = (), keys: S
     return fold_groups(phrases, keys, fold, f"{kinds}, start_id long, end_id long")
 
 
-STRONG, WEAK = "。！？.!?…", "，、；：,;:"
+#: Marks that end a sentence, and marks inside one (fixed values).
+STRONG, WEAK = "。！？!?：:", "、,，"
+
+
+def _letters(text: str) -> str:
+    """Without white space and punctuation."""
+    return "".join(c for c in text if not c.isspace() and unicodedata.category(c)[0] != "P")
 
 
 def projected_marks(units: list[str], text: str, ratio: float = 0.6, block: int = 4) -> list[str | None]:
-    """'strong' or 'weak' for units after which an alike text has a mark, strictly inside a block of equal characters."""
-    plain, marks = "", {}
-    for c in text:
-        if c in STRONG or c in WEAK:
-            if plain:
-                marks[len(plain)] = "strong" if c in STRONG or marks.get(len(plain)) == "strong" else "weak"
-        elif not c.isspace():
-            plain += c
-    joined = "".join("".join(u.split()) for u in units)
+    """'strong' or 'weak' for the unit in which a place ends that an alike text marks, strictly inside a block of equal letters."""
+    found: list[str | None] = [None] * len(units)
+    ends = np.cumsum([len(_letters(u)) for u in units])
+    plain, joined = _letters(text), _letters("".join(units))
     matcher = SequenceMatcher(None, plain, joined, autojunk=False)
-    if matcher.ratio() < ratio:
-        return [None] * len(units)
-    placed = {}
-    for a, b, n in matcher.get_matching_blocks():
-        if n >= block:
-            placed.update({b + at - a: kind for at, kind in marks.items() if a < at < a + n})
-    found, upto = [], 0
-    for unit in units:
-        upto += len("".join(unit.split()))
-        found.append(placed.get(upto))
+    if not plain or not joined or matcher.ratio() < ratio:
+        return found
+    blocks = [b for b in matcher.get_matching_blocks() if b.size >= block]
+    begins = [b.a for b in blocks]
+    # a mark stands after so many letters of the text
+    marks = [(len(_letters(text[:at])), c in STRONG) for at, c in enumerate(text) if c in STRONG or c in WEAK]
+    for place, strong in marks:
+        near = bisect_left(begins, place) - 1
+        if near < 0 or place >= begins[near] + blocks[near].size:
+            continue
+        unit = int(np.searchsorted(ends, blocks[near].b + place - begins[near]))
+        if unit < len(units) and (strong or found[unit] is None):
+            found[unit] = "strong" if strong else "weak"
     return found
 
 

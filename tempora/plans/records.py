@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tempora.functions import documents as dc
 from tempora.functions import text as tx
@@ -10,7 +11,7 @@ from tempora.functions import time as tm
 from tempora.operators import aggregates as ag
 from tempora.operators import intervals as iv
 from tempora.operators import joins, keyed, records
-from tempora.plans.timelines import FRAGMENTS, merged
+from tempora.plans.timelines import FRAGMENT_JOIN, FRAGMENTS, merged
 from tempora.plans.views import cues, documents, regions, sql, table
 from tempora.sources import subtitles
 
@@ -23,7 +24,7 @@ SQL["embeddable_regions"] = sql(f"SELECT job, rid FROM regions WHERE e - s >= 60
 
 Q["dense_windows"] = lambda s, d: records.dense(regions(s, d).where("label = 'click'"), regions(s, d).where("label <> 'click'"), HOUR, 0.3).select("job", "rid")
 SQL["dense_windows"] = sql(
-    f"SELECT o.job, o.rid FROM own o LEFT JOIN (SELECT job, rid, max(e - s) AS pause, sum(e - s) AS free FROM ({FRAGMENTS.format(own='own', cuts='cuts', least=1)}) GROUP BY job, rid) f ON o.job = f.job AND o.rid = f.rid WHERE coalesce(f.pause, 0) <= {HOUR} AND (o.e - o.s) - coalesce(f.free, 0) >= 0.3 * (o.e - o.s)",
+    f"SELECT o.job, o.rid FROM own o LEFT JOIN (SELECT job, rid, max(e - s) AS pause, sum(e - s) AS free FROM ({FRAGMENTS.format(own='own', cuts='cuts', least=1)}) GROUP BY job, rid) f ON o.job = f.job AND o.rid = f.rid WHERE o.e > o.s AND coalesce(f.free, 0) <= {HOUR} AND (o.e - o.s) - coalesce(f.free, 0) >= 0.3 * (o.e - o.s)",
     "regions", own="SELECT * FROM regions WHERE label = 'click'", cuts=merged("(SELECT * FROM regions WHERE label <> 'click' AND e > s)"),
 )
 
@@ -61,9 +62,15 @@ Q["pack_phrases"] = lambda s, d: records.pack_phrases(cues(s, d), 3, ("system",)
 Q["frame_times"] = lambda s, d: subtitles.frame_times(regions(s, d).where("label = 'purchase' and e > s"), 600_000_000).select("job", "rid", "ts_us")
 SQL["frame_times"] = sql("SELECT job, rid, unnest(range(s, e + 1, 600000000)) AS ts_us FROM regions WHERE label = 'purchase' AND e > s", "regions")
 
-Q["join_fragments"] = lambda s, d: cues(s, d).select("job", "cue_id", tx.join_fragments(F.left("text", F.lit(12)), F.right("text", F.lit(9))).alias("joined"))
+
+
+def _follow(s, d):
+    return cues(s, d).withColumn("before", F.lag("text").over(Window.partitionBy("job").orderBy("cue_id"))).where("before is not null")
+
+
+Q["join_fragments"] = lambda s, d: _follow(s, d).select("job", "cue_id", tx.join_fragments(F.col("before"), F.col("text")).alias("joined"))
 SQL["join_fragments"] = sql(
-    r"SELECT job, cue_id, CASE WHEN a = '' THEN b WHEN b = '' THEN a WHEN a LIKE '%-' AND a NOT LIKE '%--' THEN left(a, length(a) - 1) || b ELSE a || ' ' || b END AS joined FROM (SELECT job, cue_id, trim(regexp_replace(left(text, 12), '\s+', ' ', 'g')) AS a, trim(regexp_replace(right(text, 9), '\s+', ' ', 'g')) AS b FROM cues)",
+    rf"SELECT job, cue_id, {FRAGMENT_JOIN} AS joined FROM (SELECT job, cue_id, trim(regexp_replace(lag(text) OVER (PARTITION BY job ORDER BY cue_id), '\s+', ' ', 'g')) AS a, trim(regexp_replace(text, '\s+', ' ', 'g')) AS b FROM cues) WHERE a IS NOT NULL".replace("\\\\", "\\"),
     "cues",
 )
 
@@ -113,11 +120,12 @@ SQL["subtitle_round_trip"] = sql("SELECT job, row_number() OVER (PARTITION BY jo
 Q["routed_regions"] = lambda s, d: regions(s, d).where("label = 'view'").select("job", "rid", F.lit("speech").alias("route")).unionByName(regions(s, d).where("label = 'click'").select("job", "rid", F.lit("singing").alias("route"))).join(regions(s, d).where("label <> 'error' and e > s").select("job").distinct(), "job", "left_semi")
 SQL["routed_regions"] = sql("SELECT job, rid, CASE label WHEN 'view' THEN 'speech' ELSE 'singing' END AS route FROM regions WHERE label IN ('view', 'click') AND job IN (SELECT job FROM regions WHERE label <> 'error' AND e > s)", "regions")
 
-Q["activity_labels"] = lambda s, d: table(s, d, "part").select("p_partkey", (tx.is_music(F.lower("p_name")) | F.lower("p_name").isin(*tx.SINGING_LABELS, *tx.SPEECH_LABELS)).alias("sound"))
-SQL["activity_labels"] = "SELECT p_partkey, lower(p_name) IN ('music', 'musical instrument', 'orchestra') OR lower(p_name) LIKE '% music' OR contains(lower(p_name), '(musical)') OR lower(p_name) IN (" + ", ".join(f"'{x}'" for x in (*tx.SINGING_LABELS, *tx.SPEECH_LABELS)) + ") AS sound FROM part"
+_SOUNDS = ("Music", "rock music", "Speech", "dog bark", "bell (Musical) box", "female SINGING", "musically", "narration, monologue")
+Q["activity_labels"] = lambda s, d: table(s, d, "part").withColumn("name", F.lower(F.get(F.array(*map(F.lit, _SOUNDS)), (F.col("p_partkey") % len(_SOUNDS)).cast("int")))).select("p_partkey", "name", (tx.is_music(F.col("name")) | F.col("name").isin(*tx.SINGING_LABELS, *tx.SPEECH_LABELS)).alias("sound"))
+SQL["activity_labels"] = f"SELECT p_partkey, name, name IN ('music', 'rock music', 'speech', 'bell (musical) box', 'female singing', 'narration, monologue') AS sound FROM (SELECT p_partkey, lower(list_extract({list(_SOUNDS)}, CAST(p_partkey % {len(_SOUNDS)} AS INT) + 1)) AS name FROM part)"
 
 Q["props_lines"] = lambda s, d: table(s, d, "events").select("event_id", F.array_join(dc.json_lines("props"), "\n").alias("lines"))
-Q["two_line_wrap"] = lambda s, d: cues(s, d).select("job", "cue_id", dc.wrapped(F.left("text", F.lit(60)), 2200).alias("text"))
+Q["two_line_wrap"] = lambda s, d: cues(s, d).select("job", "cue_id", dc.wrapped("text", 2200).alias("text"))
 Q["normalised_text"] = lambda s, d: cues(s, d).select("job", "cue_id", dc.normalised("text").alias("text"))
 SQL["normalised_text"] = sql(r"SELECT job, cue_id, trim(regexp_replace(text, '\s+', ' ', 'g')) AS text FROM cues", "cues")
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tempora.functions import text as tx
 from tempora.operators import aggregates as ag
@@ -45,11 +46,11 @@ SQL["head_mid_tail_sample"] = "SELECT doc_id, CASE WHEN length(text) <= 300 THEN
 
 
 def _tokens(s, d):
-    return documents(s, d).select("doc_id", F.posexplode(F.split(F.left("text", F.lit(400)), " ")).alias("pos", "token"))
+    return documents(s, d).select("doc_id", F.posexplode(F.split("text", " ")).alias("pos", "token"))
 
 
 Q["ci_distinct_limit"] = lambda s, d: keyed.distinct_limited(_tokens(s, d), ("doc_id",), "token", "pos", 8).select("doc_id", F.col("pos").cast("long").alias("pos"), "tag", F.col("place").cast("long").alias("place"))
-TOKENS = "SELECT doc_id, i - 1 AS pos, t AS token FROM (SELECT doc_id, unnest(string_split(left(text, 400), ' ')) AS t, generate_subscripts(string_split(left(text, 400), ' '), 1) AS i FROM documents)"
+TOKENS = "SELECT doc_id, i - 1 AS pos, t AS token FROM (SELECT doc_id, unnest(string_split(text, ' ')) AS t, generate_subscripts(string_split(text, ' '), 1) AS i FROM documents)"
 SQL["ci_distinct_limit"] = sql(
     "SELECT doc_id, pos, tag, place FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS place FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, lower(tag) ORDER BY pos) AS n FROM (SELECT doc_id, pos, left(replace(trim(regexp_replace(ltrim(token), '^#+', '')), ',', ' '), 20) AS tag FROM t) WHERE tag <> '') WHERE n = 1) WHERE place <= 8",
     t=TOKENS,
@@ -58,8 +59,21 @@ SQL["ci_distinct_limit"] = sql(
 Q["utf16_length"] = lambda s, d: documents(s, d).select("doc_id", tx.utf16_units(F.col("text")).alias("units"), F.length(tx.truncated_utf16(F.col("text"), 2000)).cast("long").alias("kept"))
 SQL["utf16_length"] = r"SELECT doc_id, length(text) + length(regexp_replace(text, '[\x{0}-\x{ffff}]', '', 'g')) AS units, least(length(text), 2000) AS kept FROM documents"
 
-Q["tail_prefix_overlap"] = lambda s, d: documents(s, d).select("doc_id", tx.overlap_length(F.left("text", F.lit(60)), F.expr("substring(text, 41, 60)")).cast("long").alias("shared"))
-SQL["tail_prefix_overlap"] = f"SELECT doc_id, CAST(coalesce(list_max(list_filter(range(3, 81), lambda n: n <= length(a) AND n <= length(b) AND right(a, n) = left(b, n))), 0) AS BIGINT) AS shared FROM (SELECT doc_id, regexp_replace(left(text, 60), '{tx.space_class()}', '', 'g') AS a, regexp_replace(substr(text, 41, 60), '{tx.space_class()}', '', 'g') AS b FROM documents)"
+
+
+def _neighbours(s, d):
+    """A turn, and the next one after some characters of this one again."""
+    following = F.lead("text").over(Window.partitionBy("job").orderBy("cue_id"))
+    return cues(s, d).withColumn("following", F.concat(F.right("text", (F.col("cue_id") * 7 % 90).cast("int")), F.lit(" "), following)).where("following is not null")
+
+
+NEIGHBOURS = "SELECT * FROM (SELECT *, right(text, cue_id * 7 % 90) || ' ' || lead(text) OVER (PARTITION BY job ORDER BY cue_id) AS following FROM cues) WHERE following IS NOT NULL"
+Q["tail_prefix_overlap"] = lambda s, d: _neighbours(s, d).select("job", "cue_id", tx.overlap_length(F.col("text"), F.col("following")).cast("long").alias("shared"))
+SQL["tail_prefix_overlap"] = sql(
+    f"SELECT job, cue_id, CAST(coalesce(list_max(list_filter(range(3, 81), lambda n: n <= length(a) AND n <= length(b) AND right(a, n) = left(b, n))), 0) AS BIGINT) AS shared FROM (SELECT job, cue_id, regexp_replace(text, '{tx.space_class()}', '', 'g') AS a, regexp_replace(following, '{tx.space_class()}', '', 'g') AS b FROM n)",
+    "cues", n=NEIGHBOURS,
+)
+Q["without_overlap"] = lambda s, d: _neighbours(s, d).select("job", "cue_id", tx.without_overlap(F.col("text"), F.col("following")).alias("rest"))
 
 Q["numbered_lines"] = lambda s, d: documents(s, d).select("doc_id", F.sha2(tx.numbered_lines(F.col("text")), 256).alias("digest"))
 SQL["numbered_lines"] = "SELECT doc_id, sha256(array_to_string(list_transform(list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(x)), lambda x: x <> ''), lambda x, i: 'L' || i || ': ' || x), chr(10))) AS digest FROM documents"
@@ -144,7 +158,7 @@ Q["spherical_kmeans"] = lambda s, d: vectors.profile_centers(table(s, d, "embedd
 def _trimmed(s, d):
     import numpy as np
 
-    centers = {str(r["character"]): np.array(r["center"]) for r in _centers(s, d).limit(1000).collect()}
+    centers = {str(r["character"]): np.array(r["center"]) for r in _centers(s, d).collect()}
     rows = table(s, d, "embeddings").select("label", "embedding", F.col("vec_id").alias("seq"), (F.col("vec_id") % 5 + 1).cast("double").alias("duration"))
     bounded = vectors.evenly_spaced(rows, 400, ("label",), "seq")
     return vectors.trimmed_distances(bounded, centers, ("label",)).select("label", "character", F.round("distance", 4).alias("distance"))
@@ -152,7 +166,7 @@ def _trimmed(s, d):
 
 Q["medoid_trim_weighted"] = _trimmed
 
-Q["leader_clusters"] = lambda s, d: ag.leader_clusters(cues(s, d).where("cue_id < 4").select("job", F.left("text", F.lit(40)).alias("text"), (F.length("text") % 7 / 7.0).alias("score"), F.col("cue_id").alias("frame_ix"), F.col("s").alias("ts_us")), ("job",), 1)
+Q["leader_clusters"] = lambda s, d: ag.leader_clusters(cues(s, d).select("job", "text", (F.length("text") % 7 / 7.0).alias("score"), F.col("cue_id").alias("frame_ix"), F.col("s").alias("ts_us")), ("job",), 1)
 Q["profile_upsert"] = lambda s, d: keyed.upsert_last(table(s, d, "embeddings").where("vec_id % 2 = 0").select("label", F.col("vec_id").alias("seq"), F.lit("m").alias("model")), table(s, d, "embeddings").where("vec_id % 2 = 1").select("label", F.col("vec_id").alias("seq"), F.lit("m").alias("model")), ("label",), "seq", 10)
 SQL["profile_upsert"] = "SELECT label, vec_id AS seq, 'm' AS model FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY vec_id DESC) AS n FROM embeddings) WHERE n <= 10"
 

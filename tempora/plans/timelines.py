@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tempora.functions import text as tx
 from tempora.functions.time import ass_time, srt_time
 from tempora.operators import aggregates as ag
 from tempora.operators import intervals as iv
 from tempora.operators import keyed
 from tempora.operators import sequence as sq
-from tempora.plans.views import cues, regions, sql, table
+from tempora.plans.views import SQL_VIEWS, cues, regions, sql, table
 
 Q: dict = {}
 SQL: dict[str, str] = {}
@@ -92,7 +93,7 @@ SQL["cue_label_assignment"] = sql(
 FROM c LEFT JOIN (SELECT job, rid, count(*) FILTER (i = in_m AND i > 0) AS in_n, max(label) FILTER (i = in_m AND i > 0) AS in_label, max(in_m) AS in_most, count(*) FILTER (o = out_m AND o > 0) AS out_n, max(label) FILTER (o = out_m AND o > 0) AS out_label, max(out_m) AS out_most
 FROM (SELECT *, max(i) OVER (PARTITION BY job, rid) AS in_m, max(o) OVER (PARTITION BY job, rid) AS out_m FROM t) GROUP BY job, rid) x ON c.job = x.job AND c.rid = x.rid""",
     "regions", c="SELECT * FROM regions WHERE label = 'click'",
-    t="SELECT c.job, c.rid, r.label, sum(greatest(0, least(c.e, r.e) - greatest(c.s, r.s))) AS i, sum(least(c.e + 60000000, r.e) - greatest(c.s - 60000000, r.s)) AS o FROM c JOIN regions r ON c.job = r.job AND c.s - 60000000 < r.e AND r.s < c.e + 60000000 AND r.e > r.s WHERE r.label <> 'click' GROUP BY ALL",
+    t="SELECT c.job, c.rid, r.label, sum(greatest(0, least(c.e, r.e) - greatest(c.s, r.s))) AS i, sum(greatest(0, least(c.e, r.e + 60000000) - greatest(c.s, r.s - 60000000))) AS o FROM c JOIN regions r ON c.job = r.job AND c.s - 60000000 < r.e AND r.s < c.e + 60000000 AND r.e > r.s AND c.e > c.s WHERE r.label <> 'click' GROUP BY ALL",
 )
 
 Q["smallest_container"] = lambda s, d: iv.smallest_container(regions(s, d), regions(s, d)).select("job", "rid", "container")
@@ -106,6 +107,13 @@ SQL["context_windows"] = sql(
 
 Q["coalesce_runs"] = lambda s, d: iv.coalesce_runs(regions(s, d), ("label",), gap=3_600_000_000, longest=4 * HOUR)
 
+SQL["coalesce_runs"] = (
+    f"WITH RECURSIVE {SQL_VIEWS['regions']}, m AS (SELECT *, row_number() OVER (PARTITION BY job ORDER BY s, e, label) AS i FROM regions), "
+    "p AS (SELECT job, i, s, e, label, 0 AS n FROM m WHERE i = 1 "
+    f"UNION ALL SELECT job, i, CASE WHEN fits THEN ps ELSE s END, CASE WHEN fits THEN greatest(pe, e) ELSE e END, label, n + CASE WHEN fits THEN 0 ELSE 1 END FROM (SELECT m.*, p.s AS ps, p.e AS pe, p.n, m.label = p.label AND m.s - p.e <= 3600000000 AND greatest(p.e, m.e) - p.s <= {4 * HOUR} AS fits FROM p JOIN m ON m.job = p.job AND m.i = p.i + 1)) "
+    "SELECT job, min(s) AS s, max(e) AS e, max(label) AS label FROM p GROUP BY job, n"
+)
+
 Q["trim_overlaps"] = lambda s, d: iv.trim_overlaps(cues(s, d)).select("job", "cue_id", "s", "e")
 SQL["trim_overlaps"] = sql(
     """SELECT job, cue_id, s, least(e, coalesce(CASE WHEN speaker IS NULL THEN any_s ELSE least(coalesce(same_s, null_s), coalesce(null_s, same_s)) END, e)) AS e FROM (SELECT *, min(s) OVER a AS any_s,
@@ -178,7 +186,21 @@ SQL["session_gap"] = sql("SELECT job, min(s) AS s, max(e) AS e, count(*) AS even
 
 Q["pack_windows"] = lambda s, d: sq.pack_windows(regions(s, d), HOUR, 2 * HOUR, 4 * HOUR, 12 * HOUR, 18 * HOUR)
 Q["min_length_coalesce"] = lambda s, d: sq.least_length(regions(s, d), 12 * HOUR, HOUR)
+SQL["min_length_coalesce"] = (
+    f"WITH RECURSIVE {SQL_VIEWS['regions']}, m AS (SELECT *, row_number() OVER (PARTITION BY job ORDER BY s) AS i FROM ({merged('regions', HOUR)})), "
+    f"p AS (SELECT job, i, e, CASE WHEN e - s >= {12 * HOUR} THEN e ELSE s END AS edge, CASE WHEN e - s >= {12 * HOUR} THEN 1 ELSE 0 END AS n FROM m WHERE i = 1 "
+    f"UNION ALL SELECT m.job, m.i, m.e, CASE WHEN m.e - p.edge >= {12 * HOUR} THEN m.e ELSE p.edge END, CASE WHEN m.e - p.edge >= {12 * HOUR} THEN p.n + 1 ELSE p.n END FROM p JOIN m ON m.job = p.job AND m.i = p.i + 1), "
+    "x AS (SELECT job, min(s) AS first, max(e) AS last FROM m GROUP BY job), b AS (SELECT job, n, min(edge) AS e FROM p WHERE n > 0 GROUP BY job, n) "
+    "SELECT b.job, coalesce(lag(b.e) OVER w, x.first) AS s, CASE WHEN lead(b.e) OVER w IS NULL THEN x.last ELSE b.e END AS e FROM b JOIN x ON b.job = x.job WINDOW w AS (PARTITION BY b.job ORDER BY n) "
+    "UNION ALL SELECT job, first, last FROM x WHERE job NOT IN (SELECT job FROM b)"
+)
 Q["lane_assignment"] = lambda s, d: sq.lanes(regions(s, d)).select("job", "rid", "lane")
+SQL["lane_assignment"] = (
+    f"WITH RECURSIVE {SQL_VIEWS['regions']}, m AS (SELECT *, row_number() OVER (PARTITION BY job ORDER BY s, e, rid) AS i FROM regions WHERE e > s), "
+    "p AS (SELECT job, i, rid, CAST(0 AS INT) AS lane, [e] AS busy FROM m WHERE i = 1 "
+    "UNION ALL SELECT job, i, rid, CAST(lane AS INT), list_concat(busy[:lane], [e], busy[lane + 2:]) FROM (SELECT m.*, p.busy, coalesce(list_position(list_transform(p.busy, lambda x: x <= m.s), true) - 1, len(p.busy)) AS lane FROM p JOIN m ON m.job = p.job AND m.i = p.i + 1)) "
+    "SELECT job, rid, lane FROM p"
+)
 
 Q["count_windows"] = lambda s, d: sq.count_windows(cues(s, d), 3).select("job", "cue_id", "window")
 SQL["count_windows"] = sql("SELECT job, cue_id, i // 3 + CASE WHEN n % 3 = 1 AND n > 1 AND i = n - 2 THEN 1 ELSE 0 END AS \"window\" FROM (SELECT *, row_number() OVER (PARTITION BY job ORDER BY cue_id) - 1 AS i, count(*) OVER (PARTITION BY job) AS n FROM cues)", "cues")
@@ -199,8 +221,11 @@ def _paused(s, d):
 
 
 Q["run_merge_by_boundary"] = lambda s, d: sq.merge_runs(_paused(s, d)).drop("run")
+#: Two fragments as one text: a hyphen joins, CJK edges touch, anything else gets a space.
+#: (a and b have single spaces)
+FRAGMENT_JOIN = "CASE WHEN a = '' THEN b WHEN b = '' THEN a WHEN a LIKE '%-' AND a NOT LIKE '%--' THEN a[:-2] || b WHEN regexp_matches(a, '[{cjk}][，、；：—]*$') AND regexp_matches(b, '^[{cjk}]') THEN a || b ELSE a || ' ' || b END".format(cjk=tx.CJK)
 SQL["run_merge_by_boundary"] = sql(
-    "SELECT job, min(cue_id) AS first_id, max(cue_id) AS last_id, min(s) AS s, max(e) AS e, string_agg(text, ' ' ORDER BY cue_id) AS text, CASE WHEN count(DISTINCT speaker) = 1 AND count(speaker) = count(*) THEN max(speaker) END AS speaker, CASE WHEN count(DISTINCT kind) = 1 THEN max(kind) ELSE 'mixed' END AS kind FROM (SELECT *, sum(coalesce(b, 0)) OVER (PARTITION BY job ORDER BY cue_id ROWS UNBOUNDED PRECEDING) AS run FROM (SELECT *, lag(CASE WHEN length(text) % 3 = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY job ORDER BY cue_id) AS b FROM cues)) GROUP BY job, run",
+    f"SELECT job, min(cue_id) AS first_id, max(cue_id) AS last_id, arg_min(s, cue_id) AS s, arg_max(e, cue_id) AS e, list_reduce(list(trim(regexp_replace(text, '\\s+', ' ', 'g')) ORDER BY cue_id), lambda a, b: {FRAGMENT_JOIN}) AS text, CASE WHEN count(DISTINCT speaker) = 1 AND count(speaker) = count(*) THEN max(speaker) END AS speaker, CASE WHEN count(DISTINCT kind) = 1 THEN max(kind) ELSE 'mixed' END AS kind FROM (SELECT *, sum(coalesce(b, 0)) OVER (PARTITION BY job ORDER BY cue_id ROWS UNBOUNDED PRECEDING) AS run FROM (SELECT *, lag(CASE WHEN length(text) % 3 = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY job ORDER BY cue_id) AS b FROM cues)) GROUP BY job, run",
     "cues",
 )
 
@@ -268,8 +293,8 @@ SQL["id_coverage_check"] = sql(
 Q["majority_vote_null_tie"] = lambda s, d: ag.majority(cues(s, d), ("job",), "speaker")
 SQL["majority_vote_null_tie"] = sql("SELECT job, CASE WHEN count(*) FILTER (n = m AND n > 0) = 1 THEN max(speaker) FILTER (n = m AND n > 0) END AS winner FROM (SELECT *, max(n) OVER (PARTITION BY job) AS m FROM (SELECT job, speaker, count(speaker) AS n FROM cues GROUP BY ALL)) GROUP BY job", "cues")
 
-Q["uniform_or_mixed"] = lambda s, d: ag.uniform_or(cues(s, d).where("cue_id < 2"), ("job",), "kind")
-SQL["uniform_or_mixed"] = sql("SELECT job, CASE WHEN count(DISTINCT kind) = 1 AND count(kind) = count(*) THEN max(kind) WHEN count(kind) = 0 THEN NULL ELSE 'mixed' END AS value FROM cues WHERE cue_id < 2 GROUP BY job", "cues")
+Q["uniform_or_mixed"] = lambda s, d: ag.uniform_or(cues(s, d).withColumn("pair", F.floor(F.col("cue_id") / 2)), ("job", "pair"), "kind")
+SQL["uniform_or_mixed"] = sql("SELECT job, cue_id // 2 AS pair, CASE WHEN count(DISTINCT kind) = 1 AND count(kind) = count(*) THEN max(kind) WHEN count(kind) = 0 THEN NULL ELSE 'mixed' END AS value FROM cues GROUP BY job, cue_id // 2", "cues")
 
 Q["majority_start_share"] = lambda s, d: ag.majority_share(regions(s, d), ("job",), F.floor(F.col("s") / HOUR))
 SQL["majority_start_share"] = sql(f"SELECT job, max(n) AS most, CAST(sum(n) AS BIGINT) AS rows FROM (SELECT job, s // {HOUR} AS h, count(*) AS n FROM regions GROUP BY ALL) GROUP BY job", "regions")

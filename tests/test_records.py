@@ -19,7 +19,9 @@ def test_loose_records(text, found):
 
 def test_flat_lines(spark):
     df = spark.createDataFrame([('{"a": {"b": 1, "c": ["x", "y"]}, "d": [{"e": ""}, {"e": 2}]}',)], "t string")
-    assert df.select(dc.json_lines("t")).first()[0] == ["a.b:1", "a.c:x｜y", "d[1].e:2"]
+    assert df.select(dc.json_lines("t")).first()[0] == ["a.b:1", "a.c:x｜y", "d[0].e:", "d[1].e:2"]
+    assert dc.flat_lines({"x": None, "y": [True, " a  b "], "z": False, "w": []}) == ["x:", "y:true｜a b", "z:false", "w:"]
+    assert dc.flat_lines([{"k": 1}, 2]) == ["[0].k:1", "[1]:2"]
 
 
 def test_normalised(spark):
@@ -52,6 +54,9 @@ def test_dense(spark):
     windows = spark.createDataFrame([(1, 0, "w", 0, 60 * S), (1, 1, "w", 100 * S, 160 * S)], schema)
     spans = spark.createDataFrame([(1, 0, "x", 0, 30 * S), (1, 1, "x", 40 * S, 60 * S), (1, 2, "x", 100 * S, 142 * S)], schema)
     assert [r["rid"] for r in rc.dense(windows, spans).collect()] == [0]
+    # two pauses of 10 s are 20 s of silence
+    twice = spark.createDataFrame([(1, 0, "x", 0, 20 * S), (1, 1, "x", 30 * S, 50 * S)], schema)
+    assert rc.dense(windows.where("rid = 0"), twice).count() == 0
 
 
 def test_boundaries_and_splice(spark):
@@ -71,7 +76,9 @@ def test_pack_phrases(spark):
 
 
 def test_projected_marks(spark):
-    assert rc.projected_marks(["hello there", "my friend", "bye"], "hello there, my friend. bye") == ["weak", "strong", None]
+    assert rc.projected_marks(["hello there", "my friend", "bye"], "hello there, my friend! bye") == ["weak", "strong", None]
+    assert rc.projected_marks(["hello there", "my friend", "bye"], "hello there. my friend: bye") == [None, "strong", None]
+    assert rc.projected_marks(["it's hello", "there my", "friend"], "its hello, there! my friend") == ["weak", "strong", None]
     assert rc.projected_marks(["abc", "def"], "zzzz, yyyy") == [None, None]
     units = spark.createDataFrame([(1, 0, 0, "hello there"), (1, 0, 1, "my friend")], "job long, rec_ix long, cue_id long, text string")
     texts = spark.createDataFrame([(1, 0, "hello there! my friend")], "job long, rec_ix long, text string")
