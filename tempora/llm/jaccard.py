@@ -38,7 +38,7 @@ from pyspark.sql.window import Window
 
 from tempora.llm import sketch
 from tempora.llm.components import components
-from tempora.llm.textkit import BYTE_BASE, SPACE_WORDS, U64, WORD_BASE, WORD_BASE_2, Words, binary, blocks, id_and_text, materialise, mix, read_table, window_hash
+from tempora.llm.textkit import BYTE_BASE, SPACE_WORDS, U64, WORD_BASE, WORD_BASE_2, Words, binary, blocks, id_and_text, materialise, mix, read_table, release, window_hash
 
 #: A block of a cluster holds about so many sets, and bytes of sets.
 BLOCK_SETS, BLOCK_BYTES = 4096, 16 << 20
@@ -354,6 +354,7 @@ def linked(docs: DataFrame, size: int = 3, percent: int = 90, block_sets: int =
     classes = known.where("n_shingles > 0").groupBy("n_shingles", "d1", "d2").agg(F.min("doc_id").alias("representative"))
 
     clusters = components(cluster_links(docs.where("doc_id is not null"), rule), "a", "b")
+    release(docs.sparkSession)  # the signatures' shuffle is the largest, and over
     members = materialise(classes.join(clusters.withColumnRenamed("node", "d1").withColumnRenamed("component", "cluster"), "d1").select("representative", "n_shingles", "d1", "cluster"))
     sized = members.groupBy("cluster").agg(F.count("*").alias("sets"), F.sum("n_shingles").alias("total")).where("sets > 1")
     cut = F.greatest(F.ceil(F.col("sets") / block_sets), F.ceil(8 * F.col("total") / block_bytes)).cast("int")
@@ -372,6 +373,7 @@ def linked(docs: DataFrame, size: int = 3, percent: int = 90, block_sets: int =
             yield _pairs([(rows[i][2], rows[j][2]) for i, j in links])
 
     links = materialise(inside.repartition("cluster", "part").sortWithinPartitions("cluster", "part").mapInArrow(within, "a long, b long"))
+    release(docs.sparkSession)
 
     # block against block, where a cut cluster is not yet one component
     if sized.where(cut > 1).limit(1).count():

@@ -219,8 +219,13 @@ def scope(spark: SparkSession) -> Iterator[None]:
         for path in _SCOPES.pop():
             place = spark._jvm.org.apache.hadoop.fs.Path(path)
             place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
-        gc.collect()
-        spark._jvm.System.gc()
+        release(spark)
+
+
+def release(spark: SparkSession) -> None:
+    """Lets Spark remove shuffle files that no table refers to any more."""
+    gc.collect()
+    spark._jvm.System.gc()
 
 
 def hash_sample(rows: DataFrame, key: str, most: int) -> DataFrame:
