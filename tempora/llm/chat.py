@@ -8,15 +8,23 @@ emission probabilities are counted, with smoothing, from transcripts whose roles
 are known. The Viterbi path gives each line its role; lines of one turn join,
 markers go, and turns are rendered in one canonical form.
 
-The model is fitted on at most `sample_rows` conversations, those with the
-smallest hash; every conversation is parsed. A conversation is handled in blocks
-of `BLOCK_TURNS` turn numbers; where rows share turn numbers so often that a
-block would exceed PART_ROWS rows, it is parsed in several parts.
+Rows are dealt by ranges of (conv_id, turn, role, text), so a conversation is one
+piece or, where it is cut by a range, several pieces in order. Scores are whole
+numbers. Only the first and the last piece of a partition can belong to a cut
+conversation: each gives the best scores from every state before it to every
+state at its end, the driver composes them (at most two small matrices a
+partition), and every piece is decoded with the states that the likeliest path of
+the whole conversation has at its ends. So no conversation is cut or held by one
+task, whatever its size; paths of exactly equal scores may fall either way.
+
+The model is fitted on about `sample_rows` pieces, chosen by hash from conversations
+that are not held out; every conversation is parsed.
 
 Defined results: null and empty texts are turns of one empty line; rows with a
-null conv_id or turn form conversations and blocks of their own; unknown or null
+null conv_id form one conversation, and null turns come first; unknown or null
 roles are not learned from and count as user; ties of turn numbers are taken in
-the order of role and text; repeated rows are turns of their own.
+the order of role and text; repeated rows are turns of their own; other columns
+are not read.
 """
 
 from __future__ import annotations
@@ -28,13 +36,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from tempora.llm.textkit import read_table
+from tempora.llm.textkit import materialise, read_table
 
 ROLES = ("system", "user", "assistant")
-BLOCK_TURNS, PART_ROWS = 256, 1024
+#: Rows that one partition should hold.
+PART_ROWS = 65_536
+#: Scores are logarithms in units of this, and what can't be.
+UNIT, NEVER = 2.0**-20, -(2**50)
 #: Marker styles (fixed values): a word before a colon, a heading, brackets, and tags; "" leaves all markers out.
 STYLES = (
     ("System: ", "User: ", "Assistant: "),
@@ -52,6 +64,8 @@ NAMES = {
 _ROLE_OF = {name: i for i, role in enumerate(ROLES) for name in NAMES[role]}
 _MARKER = re.compile(r"^\s*(?:#{1,4}\s*(\w+)\s*:?\s*$|\[(\w+)\]:?\s*|<{1,2}\|?(\w+)\|?>{1,2}\s*|(\w+)\s*:\s+)")
 
+TURNS = pa.list_(pa.struct([("role", pa.int32()), ("text", pa.string()), ("known", pa.bool_())]))
+
 #: Sizes of the categorical features of a line.
 SIZES = (5, 6, 4, 2)
 STATES = 2 * len(ROLES)  # role * 2 + (goes on)
@@ -66,7 +80,8 @@ def marker(line: str) -> tuple[int, int]:
     return (3, 0) if role is None else (role, found.end())
 
 
-def observe(lines: list[str]) -> np.ndarray:
+def observe(lines: list[str], after_blank: bool = False) -> np.ndarray:
+    """Features of lines; after_blank: the line before them is blank."""
     rows = np.zeros((len(lines), len(SIZES)), np.int64)
     for i, line in enumerate(lines):
         text = line.rstrip()
@@ -74,8 +89,9 @@ def observe(lines: list[str]) -> np.ndarray:
             marker(line)[0],
             min(5, int(np.log2(len(text) + 1) / 2)),
             0 if not text else 1 if text[-1] == "?" else 2 if text[-1] in ".!" else 3,
-            int(i > 0 and not lines[i - 1].strip()),
+            int(after_blank),
         )
+        after_blank = not line.strip()
     return rows
 
 
@@ -88,17 +104,29 @@ class Model:
     def scores(self, rows: np.ndarray) -> np.ndarray:
         return sum(table[:, rows[:, i]].T for i, table in enumerate(self.emit))
 
-    def viterbi(self, rows: np.ndarray) -> np.ndarray:
-        """The likeliest states."""
+    def entries(self) -> np.ndarray:
+        """Scores of the first line's state after each state, and (the last row) at the start."""
+        return np.vstack([self.move, self.start])
+
+    def reach(self, rows: np.ndarray) -> np.ndarray:
+        """The best score from each of the entries to each state of the last line."""
+        seen = self.scores(rows)
+        best = self.entries() + seen[0]
+        for t in range(1, len(rows)):
+            best = (best[:, :, None] + self.move).max(1) + seen[t]
+        return best
+
+    def viterbi(self, rows: np.ndarray, before: int = -1, last: int | None = None) -> np.ndarray:
+        """The likeliest states, after the state `before` (-1: at the start) and up to the state `last`, if known."""
         seen = self.scores(rows)
-        best = self.start + seen[0]
-        back = np.zeros((len(rows), STATES), np.int64)
+        best = self.entries()[before] + seen[0]
+        back = np.zeros((len(rows), STATES), np.int8)
         for t in range(1, len(rows)):
             reach = best[:, None] + self.move
             back[t] = reach.argmax(0)
             best = reach.max(0) + seen[t]
         path = np.zeros(len(rows), np.int64)
-        path[-1] = best.argmax()
+        path[-1] = best.argmax() if last is None else last
         for t in range(len(rows) - 1, 0, -1):
             path[t - 1] = back[t, path[t]]
         return path
@@ -132,15 +160,15 @@ class Counts:
     def model(self, smooth: float = 0.1) -> Model:
         def log(table: np.ndarray) -> np.ndarray:
             table = table + smooth
-            return np.log(table / table.sum(-1, keepdims=True))
+            return np.rint(np.log(table / table.sum(-1, keepdims=True)) / UNIT).astype(np.int64)
 
         move = log(self.move)
         for role in range(len(ROLES)):  # a turn goes on only in the role that began it
             for other in range(len(ROLES)):
                 if other != role:
-                    move[2 * other : 2 * other + 2, 2 * role + 1] = -np.inf
+                    move[2 * other : 2 * other + 2, 2 * role + 1] = NEVER
         start = log(self.start)
-        start[1::2] = -np.inf
+        start[1::2] = NEVER
         return Model(start, move, [log(t) for t in self.emit])
 
 
@@ -161,52 +189,92 @@ def read_turns(model: Model, lines: list[str]) -> tuple[list[tuple[str, str]], n
         return [], np.zeros(0, np.int64)
     states = model.viterbi(observe(lines))
     turns: list[tuple[str, list[str]]] = []
-    for line, state in zip(lines, states.tolist(), strict=True):
-        if state % 2 == 0 or not turns:
-            kind, at = marker(line)
-            rest = line[at:] if kind < 3 else line
-            # a heading stands alone; its turn's text begins on the next line
-            turns.append((ROLES[state // 2], [] if at and not rest.strip() and at == len(line) else [rest]))
-        else:
-            turns[-1][1].append(line)
+    for state, text in _bare(lines, states.tolist()):
+        if state % 2 == 0:
+            turns.append((ROLES[state // 2], []))
+        turns[-1][1].extend(text)
     return [(role, "\n".join(text)) for role, text in turns], states
 
 
-def render(turns: list[tuple[str, str]]) -> str:
-    """The canonical form of a conversation."""
-    return "".join(f"<|{role}|>\n{text}\n<|end|>\n" for role, text in turns)
+def _bare(lines: list[str], states: list[int]) -> Iterator[tuple[int, list[str]]]:
+    """The state and the text of each line without its marker; a heading stands alone and has none."""
+    for line, state in zip(lines, states, strict=True):
+        kind, at = marker(line) if state % 2 == 0 else (4, 0)
+        yield state, [] if at and at == len(line) else [line[at:] if kind < 3 else line]
+
 
+def render(lines: list[str], states: list[int], begins: bool = True, ends: bool = True) -> str:
+    """The canonical form of a piece of a conversation; pieces in order make up the whole."""
+    out = []
+    for i, (state, text) in enumerate(_bare(lines, states)):
+        if state % 2 == 0:
+            out += [] if begins and i == 0 else ["<|end|>\n"]
+            out.append(f"<|{ROLES[state // 2]}|>\n")
+        out += [t + "\n" for t in text]
+    return "".join(out) + "<|end|>\n" * ends
 
-def grouped_turns(conversations: DataFrame) -> DataFrame:
-    """conv_id, block, part and ordered turns; no group exceeds about PART_ROWS rows."""
+
+def conversation_pieces(conversations: DataFrame) -> DataFrame:
+    """conv_id, part, seq (in the partition) and ordered turns, of all rows; written, since several passes read it."""
     role = F.lower(F.col("role").cast("string"))
     number = F.when(role == "system", 0).when(role == "assistant", 2).otherwise(1)
     rows = conversations.select("conv_id", F.col("turn").cast("long").alias("turn"), number.alias("role"), F.coalesce(role.isin(*ROLES), F.lit(False)).alias("known"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    rows = rows.withColumn("block", F.floor(F.col("turn") / BLOCK_TURNS))
-    sizes = rows.groupBy("conv_id", "block").agg(F.count("*").alias("n")).where(F.col("n") > PART_ROWS)
-    parts = sizes.select(F.col("conv_id").alias("c"), F.col("block").alias("b"), F.ceil(F.col("n") / PART_ROWS).alias("parts"))
-    rows = rows.join(parts, rows["conv_id"].eqNullSafe(parts["c"]) & rows["block"].eqNullSafe(parts["b"]), "left")
-    rows = rows.withColumn("part", F.coalesce(F.pmod(F.xxhash64("turn", "text"), F.col("parts")), F.lit(0)).cast("int"))
-    turns = F.array_sort(F.collect_list(F.struct("turn", "role", "text", "known")))
-    return rows.groupBy("conv_id", "block", "part").agg(turns.alias("turns"))
+    # equal rows are dealt too: which of them comes first makes no difference
+    rows = rows.withColumn("row", F.monotonically_increasing_id())
+    order = ("conv_id", "turn", "role", "text", "row")
+    session = conversations.sparkSession
+    parts = max(int(session.conf.get("spark.sql.shuffle.partitions")), -(-rows.count() // PART_ROWS))
+    rows = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("part", F.spark_partition_id())
+    kind = pa_type(conversations)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seq, current, part, turns = 0, None, 0, []
+
+        def piece() -> pa.RecordBatch:
+            columns = [pa.array([current], kind), pa.array([part], pa.int32()), pa.array([seq], pa.int64()), pa.array([turns], TURNS)]
+            return pa.RecordBatch.from_arrays(columns, names=["conv_id", "part", "seq", "turns"])
+
+        for batch in batches:
+            for row in batch.to_pylist():
+                if turns and row["conv_id"] != current:
+                    yield piece()
+                    seq, turns = seq + 1, []
+                current, part = row["conv_id"], row["part"]
+                turns.append({k: row[k] for k in ("role", "text", "known")})
+        if turns:
+            yield piece()
+
+    name = conversations.schema["conv_id"].dataType.simpleString()
+    schema = f"conv_id {name}, part int, seq long, turns array<struct<role:int,text:string,known:boolean>>"
+    return materialise(rows.drop("row").mapInArrow(run, schema))
+
+
+def pa_type(conversations: DataFrame) -> pa.DataType:
+    return to_arrow_type(conversations.schema["conv_id"].dataType)
+
 
+def held_out(conv_id: Column) -> Column:
+    """Conversations that no model learns from: a third, by hash."""
+    return F.pmod(F.xxhash64(conv_id), F.lit(3)) == 1
 
-def _style(row: dict) -> int:
-    text = f"{row['conv_id']}/{row['block']}/{row['part']}".encode()
-    return hashlib.sha256(text).digest()[0] % len(STYLES)
+
+def _style(conv_id: object) -> int:
+    return hashlib.sha256(str(conv_id).encode()).digest()[0] % len(STYLES)
 
 
 def _transcripts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, list[str], list[int]]]:
     for batch in batches:
-        for row in batch.to_pylist():
-            lines, states = write_transcript([(t["role"], t["text"]) for t in row["turns"]], _style(row))
+        for i in range(batch.num_rows):
+            row = batch.slice(i, 1).to_pylist()[0]
+            lines, states = write_transcript([(t["role"], t["text"]) for t in row.pop("turns")], _style(row["conv_id"]))
             yield row, lines, states
 
 
-def fit(groups: DataFrame, sample_rows: int = 5000) -> Model:
-    """Counts states and features in transcripts with known roles of a bounded sample."""
-    known = groups.where(F.forall("turns", lambda t: t["known"]))
-    sample = known.orderBy(F.xxhash64("conv_id", "block", "part"), "conv_id", "block", "part").limit(sample_rows)
+def fit(pieces: DataFrame, sample_rows: int = 5000) -> Model:
+    """Counts states and features in transcripts with known roles; about `sample_rows` pieces by hash."""
+    known = pieces.where(F.forall("turns", lambda t: t["known"]) & ~held_out(F.col("conv_id")))
+    share = max(1, -(-known.count() // sample_rows))
+    sample = known.where(F.pmod(F.xxhash64("conv_id", "part"), F.lit(share)) == 0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = Counts.empty()
@@ -214,36 +282,103 @@ def fit(groups: DataFrame, sample_rows: int = 5000) -> Model:
             counts.add(observe(lines), np.array(states))
         yield pa.RecordBatch.from_arrays([pa.array([counts.flat()], pa.list_(pa.float64()))], names=["counts"])
 
-    total = Counts.empty().flat()
+    total = np.array(Counts.empty().flat())
     for row in sample.mapInArrow(run, "counts array<double>").toLocalIterator():
-        total = np.add(total, row["counts"])
-    return Counts.of(np.asarray(total)).model()
+        total = total + row["counts"]
+    return Counts.of(total).model()
+
+
+@dataclass
+class Joint:
+    """What a piece has to know of the pieces of its conversation around it."""
+
+    before: int = -1  # the state before it; -1 at the start
+    last: int | None = None  # its last state, where that is settled
+    after_blank: bool = False
+    n_before: int = 0  # lines before it
+    number: int = 0
+    follows: bool = False  # another piece comes after it
 
 
-def parse(groups: DataFrame, model: Model) -> DataFrame:
-    """Recovered roles and canonical rendering of every conversation's transcript."""
-    shared = groups.sparkSession.sparkContext.broadcast(model)
+def joints(pieces: DataFrame, model: Model) -> dict[tuple[int, int], Joint]:
+    """The joints of cut conversations by (part, seq): at most two pieces of a partition."""
+    shared = pieces.sparkSession.sparkContext.broadcast(model)
+    ends = pieces.groupBy("part").agg(F.max("seq").alias("most"))
+    edges = pieces.join(ends, "part").where("seq = 0 OR seq = most").select("conv_id", "part", "seq", "turns")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out: dict[str, list] = {"n_turns": [], "n_lines": [], "n_right": [], "roles": [], "rendered": []}
-            for _, lines, states in _transcripts(iter([batch])):
-                turns, found = read_turns(shared.value, lines)
-                out["n_turns"].append(len(turns))
-                out["n_lines"].append(len(lines))
-                out["n_right"].append(int((found // 2 == np.array(states) // 2).sum()))
-                out["roles"].append(",".join(role for role, _ in turns))
-                out["rendered"].append(render(turns))
-            columns = [batch.column(0), batch.column(1), batch.column(2), *(pa.array(out[c], pa.int64()) for c in ("n_turns", "n_lines", "n_right")), pa.array(out["roles"], pa.string()), pa.array(out["rendered"], pa.string())]
-            yield pa.RecordBatch.from_arrays(columns, names=["conv_id", "block", "part", *out])
+        for row, lines, _ in _transcripts(batches):
+            reach = [shared.value.reach(observe(lines, blank)).ravel().tolist() for blank in (False, True)]
+            found = {"part": row["part"], "seq": row["seq"], "n_lines": len(lines), "blank": not lines[-1].strip(), "reach": reach}
+            yield pa.RecordBatch.from_pylist([found], pa.schema([("part", pa.int32()), ("seq", pa.int64()), ("n_lines", pa.int64()), ("blank", pa.bool_()), ("reach", pa.list_(pa.list_(pa.int64())))]))
+
+    known = {(r["part"], r["seq"]): r for r in edges.mapInArrow(run, "part int, seq long, n_lines long, blank boolean, reach array<array<long>>").toLocalIterator()}
+    of = {(r["part"], r["seq"]): r["conv_id"] for r in edges.select("conv_id", "part", "seq").toLocalIterator()}
+    chains: list[list[tuple[int, int]]] = []
+    for at in sorted(of):
+        if chains and chains[-1][-1][0] < at[0] and of[chains[-1][-1]] == of[at]:
+            chains[-1].append(at)
+        else:
+            chains.append([at])
+    return {at: joint for chain in chains if len(chain) > 1 for at, joint in zip(chain, _joined([known[a] for a in chain]), strict=True)}
+
+
+def _joined(chain: list) -> list[Joint]:
+    found, steps, best, blank, n = [], [], None, False, 0
+    for number, row in enumerate(chain):
+        reach = np.array(row["reach"][int(blank)]).reshape(STATES + 1, STATES)
+        found.append(Joint(after_blank=blank, n_before=n, number=number))
+        ways = reach[-1:] if best is None else best[:, None] + reach[:-1]
+        steps.append(ways)
+        best, blank, n = ways.max(0), row["blank"], n + row["n_lines"]
+    state = int(best.argmax())
+    for joint, ways in zip(reversed(found), reversed(steps), strict=True):
+        joint.last, joint.follows = state, joint.number < len(found) - 1
+        if joint.number:
+            state = joint.before = int(ways[:, state].argmax())
+    return found
 
-    kind = groups.schema["conv_id"].dataType.simpleString()
-    return groups.mapInArrow(run, f"conv_id {kind}, block long, part int, n_turns long, n_lines long, n_right long, roles string, rendered string")
+
+def _line_hash(at: int, state: int, text: list[str]) -> int:
+    return int.from_bytes(hashlib.blake2b(f"{at}/{state}/{len(text)}/{''.join(text)}".encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+
+
+PARSED = ("n_turns", "n_lines", "n_right", "lines_hash")
+
+
+def parse(pieces: DataFrame, model: Model) -> DataFrame:
+    """Recovered turns of every conversation: a row for each of its pieces, numbered in order.
+
+    The pieces' `rendered` in order make up the canonical form. lines_hash is the
+    exclusive or of a hash of place, state and text of each line.
+    """
+    context = pieces.sparkSession.sparkContext
+    shared, near = context.broadcast(model), context.broadcast(joints(pieces, model))
+    kind = pa_type(pieces)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row, lines, states in _transcripts(batches):
+            joint = near.value.get((row["part"], row["seq"]), Joint())
+            path = shared.value.viterbi(observe(lines, joint.after_blank), joint.before, joint.last)
+            digest = 0
+            for i, (state, text) in enumerate(_bare(lines, path.tolist())):
+                digest ^= _line_hash(joint.n_before + i, state, text)
+            right = int((path // 2 == np.array(states) // 2).sum())
+            numbers = [joint.number, int((path % 2 == 0).sum()), len(lines), right, digest]
+            rendered = render(lines, path.tolist(), joint.before < 0, not joint.follows)
+            columns = [pa.array([row["conv_id"]], kind), *(pa.array([x], pa.int64()) for x in numbers), pa.array([rendered], pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, names=["conv_id", "number", *PARSED, "rendered"])
+
+    name = pieces.schema["conv_id"].dataType.simpleString()
+    return pieces.mapInArrow(run, f"conv_id {name}, number long, {', '.join(f'{c} long' for c in PARSED)}, rendered string")
 
 
 def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    groups = grouped_turns(read_table(spark, sf_dir, "conversations"))
-    return parse(groups, fit(groups)).withColumn("rendered_sha256", F.sha2("rendered", 256)).drop("rendered")
+    """One row a conversation; n_right counts lines whose role is recovered, held_out that the model did not learn from it."""
+    pieces = conversation_pieces(read_table(spark, sf_dir, "conversations"))
+    parsed = parse(pieces, fit(pieces)).drop("rendered")
+    sums = [F.sum(c).alias(c) for c in PARSED[:-1]]
+    return parsed.groupBy("conv_id").agg(*sums, F.bit_xor("lines_hash").alias("lines_hash")).withColumn("held_out", held_out(F.col("conv_id")))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op10_chat": op10_chat}

@@ -392,12 +392,52 @@ def test_viterbi_equals_trying_all_paths():
 
 def test_roles_are_recovered(spark):
     got = chat.op10_chat(spark, "/root/testdata/sf0.01").toPandas()
-    style = [chat._style({"conv_id": r.conv_id, "block": r.block, "part": r.part}) for r in got.itertuples()]
-    marked = got[[s < 4 for s in style]]
-    assert marked.n_right.sum() / marked.n_lines.sum() > 0.97
+    assert got.conv_id.is_unique and got.held_out.any()
+    marked = np.array([chat._style(c) < 4 for c in got.conv_id])
+    for rows in (got[marked & got.held_out], got[marked]):
+        assert rows.n_right.sum() / rows.n_lines.sum() > 0.97
     assert got.n_right.sum() / got.n_lines.sum() > 0.85
 
 
+def test_a_cut_conversation_is_decoded_as_a_whole():
+    rng = random.Random(8)
+    counts = chat.Counts.of(np.random.default_rng(3).random(len(chat.Counts.empty().flat())))
+    model = counts.model()
+    for _ in range(30):
+        turns = [(rng.randrange(3), rng.choice(["", "a", "what?", "so.\n", "User: no\nyes", "a longer line of text"])) for _ in range(rng.randrange(3, 14))]
+        cuts = sorted({0, len(turns), *(rng.randrange(len(turns)) for _ in range(3))})
+        parts = [chat.write_transcript(turns[a:b], 4)[0] for a, b in zip(cuts, cuts[1:], strict=False)]
+        lines = [x for part in parts for x in part]
+        rows = []
+        for part in parts:
+            rows.append({"reach": [model.reach(chat.observe(part, blank)).tolist() for blank in (False, True)], "n_lines": len(part), "blank": not part[-1].strip()})
+        joined = chat._joined(rows)
+        paths = [model.viterbi(chat.observe(part, j.after_blank), j.before, j.last).tolist() for part, j in zip(parts, joined, strict=True)]
+        whole = model.viterbi(chat.observe(lines)).tolist()
+        seen, found = model.scores(chat.observe(lines)), [x for path in paths for x in path]
+
+        def worth(path, seen=seen):
+            return model.start[path[0]] + seen[0, path[0]] + sum(model.move[a, b] + seen[t + 1, b] for t, (a, b) in enumerate(zip(path, path[1:], strict=False)))
+
+        assert worth(found) == worth(whole)
+        pieces = [chat.render(part, path, j.before < 0, not j.follows) for part, path, j in zip(parts, paths, joined, strict=True)]
+        assert "".join(pieces) == chat.render(lines, found)
+
+
+@pytest.mark.parametrize("same", [False, True])
+def test_long_conversations_are_cut_and_joined(spark, same, monkeypatch):
+    rows = [(7, 0 if same else i, ("user", "assistant")[i % 2], f"t{i:04}?") for i in range(1100)] + [(c, 0, "user", f"c{c}") for c in (1, 2, 9)]
+    df = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string")
+    pieces = chat.conversation_pieces(df.repartition(4))
+    model = chat.fit(pieces)
+    got = chat.parse(pieces, model).where("conv_id = 7").orderBy("number").collect()
+    assert len(got) > 1 and [r["number"] for r in got] == list(range(len(got)))
+    ordered = sorted((t, {"user": 1, "assistant": 2}[r], x) for c, t, r, x in rows if c == 7)
+    lines, _ = chat.write_transcript([(r, x) for _, r, x in ordered], chat._style(7))
+    assert "".join(r["rendered"] for r in got) == chat.render(lines, chat.read_turns(model, lines)[1].tolist())
+    assert sum(r["n_lines"] for r in got) == len(lines)
+
+
 def test_marked_transcripts_round_trip():
     turns = [(0, "be kind"), (1, "hello\nthere"), (2, "hi"), (1, "bye")]
     counts = chat.Counts.empty()
@@ -407,16 +447,18 @@ def test_marked_transcripts_round_trip():
     for style in range(4):
         written, _ = chat.write_transcript(turns, style)
         assert chat.read_turns(counts.model(), written)[0] == [(chat.ROLES[r], t) for r, t in turns]
-    assert chat.render([("user", "x")]) == "<|user|>\nx\n<|end|>\n"
+    assert chat.render(["User: x", "y"], [2, 3]) == "<|user|>\nx\ny\n<|end|>\n"
 
 
 def test_chat_edge_cases(spark):
-    rows = [(1, 0, "user", None), (1, 1, None, "x"), (None, None, "other", "y"), (2, 0, "system", "a"), (2, 0, "system", "a")] + [(3, 5, "user", f"t{i}") for i in range(chat.PART_ROWS + 10)]
-    df = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string")
-    groups = chat.grouped_turns(df)
-    got = chat.parse(groups, chat.fit(groups)).collect()
-    assert {r["conv_id"] for r in got} == {1, 2, 3, None} and sum(r["conv_id"] == 3 for r in got) == 2
-    assert chat.parse(groups.where("false"), chat.fit(groups.where("false"))).count() == 0
+    rows = [(1, 0, "user", None), (1, 1, None, "x"), (None, None, "other", "y"), (2, 0, "system", "a"), (2, 0, "system", "a"), (3, None, "user", "z" * 100_000)]
+    df = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").selectExpr("*", "7 AS part", "'x' AS seq", "1 AS row", "'k' AS known")
+    pieces = chat.conversation_pieces(df)
+    got = chat.parse(pieces, chat.fit(pieces)).groupBy("conv_id").sum("n_lines").collect()
+    styled = {c: len(chat.write_transcript([(t[0], t[1]) for t in turns], chat._style(c))[0]) for c, turns in {1: [(1, ""), (1, "x")], None: [(1, "y")], 2: [(0, "a"), (0, "a")], 3: [(1, "z")]}.items()}
+    assert {r[0]: r[1] for r in got} == styled
+    none = chat.conversation_pieces(df.where("false"))
+    assert chat.parse(none, chat.fit(none)).count() == 0
 
 
 # ---- empty tables and the pipeline
