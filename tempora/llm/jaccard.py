@@ -19,7 +19,8 @@
    more than one component.
 
 Hot signatures are settled within each batch before the shuffle, so one
-signature sends one row a batch.
+signature sends one row a batch. Rows travel packed, in ten bytes each: what is cut
+off a signature or a digest makes clusters larger at worst, and loses no link.
 
 Defined results: null, empty and wordless texts have no shingles and are linked
 with nothing; a null doc_id is a document of its own with no component; repeated
@@ -34,7 +35,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tempora.llm import sketch
 from tempora.llm.components import components
@@ -45,6 +45,8 @@ BLOCK_SETS, BLOCK_BYTES = 4096, 16 << 20
 #: Sets of a cut cluster that stand in each of its blocks, on average.
 PIVOTS = 8
 FANOUT = 8
+#: A signature and its sender travel in so many bytes; each shuffle partition gets about so many buckets of them.
+SIGNATURE_BYTES, NODE_BYTES, BUCKETS = 5, 5, 4
 #: Members of clusters that are broadcast at most (about 60 bytes each); more are joined by a shuffle.
 BROADCAST_ROWS = 500_000
 
@@ -148,36 +150,93 @@ def set_classes(docs: DataFrame, rule: Rule) -> DataFrame:
     return id_and_text(docs).mapInArrow(run, "doc_id long, n_shingles long, d1 long, d2 long")
 
 
-def cluster_links(docs: DataFrame, rule: Rule) -> DataFrame:
-    """Pairs of digests (a, b) that share a signature with the smallest of its senders."""
+def _node(digest: np.ndarray) -> np.ndarray:
+    """The 40 bits by which signatures name a set; sets that agree in them share a cluster at worst."""
+    return digest.view(U64) >> U64(64 - 8 * NODE_BYTES)
+
+
+def signature_rows(docs: DataFrame, rule: Rule, buckets: int) -> DataFrame:
+    """Signatures of a batch dealt to buckets, packed; links that the batch shows by itself, as pairs of nodes.
+
+    A packed row is SIGNATURE_BYTES of the signature and NODE_BYTES of its sender. The
+    bucket comes from other bits, so what meets in it agrees in those as well.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = []
             for _, _, sets in _set_batches(iter([batch]), rule.size):
                 signature, sender = sets.signatures(rule)
-                found.append((signature, sets.digest(WORD_BASE).view(np.int64)[sender]))
+                found.append((signature, _node(sets.digest(WORD_BASE))[sender]))
             if found:
-                yield _settled(*(np.concatenate(x) for x in zip(*found, strict=True)))
+                yield _dealt(*(np.concatenate(x) for x in zip(*found, strict=True)), buckets)
 
-    rows = id_and_text(docs).mapInArrow(run, "signature long, a long, b long")
-    first = F.first("a").over(Window.partitionBy("signature").orderBy("a").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    met = rows.withColumn("lowest", first)
-    return met.select("a", F.coalesce("b", "lowest").alias("b")).where("a <> b").distinct()
+    return id_and_text(docs).mapInArrow(run, "bucket int, packed binary, pairs binary")
 
 
-def _settled(signature: np.ndarray, digest: np.ndarray) -> pa.RecordBatch:
-    """One open row a signature; the links that the batch itself shows go on as they are."""
-    order = np.lexsort((digest, signature))
-    signature, digest = signature[order], digest[order]
+def cluster_links(docs: DataFrame, rule: Rule) -> DataFrame:
+    """Pairs of nodes (a, b) that share a signature with the smallest of its senders."""
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[bytes]] = {}
+        for batch in batches:
+            for bucket, packed, pairs in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                held.setdefault(bucket, []).append(packed)
+                if pairs:
+                    yield _node_pairs(np.frombuffer(pairs, np.int64).reshape(2, -1))
+        while held:
+            yield _node_pairs(_shared(*_unpacked(b"".join(held.popitem()[1]))))
+
+    buckets = BUCKETS * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return signature_rows(docs, rule, buckets).repartition("bucket").mapInArrow(meet, "a long, b long").distinct()
+
+
+def _shared(signature: np.ndarray, node: np.ndarray) -> np.ndarray:
+    """Pairs of a node and the smallest node with the same signature."""
+    order = np.argsort(signature)
+    signature, node = signature[order], node[order]
+    same = signature[1:] == signature[:-1]
+    often = np.concatenate((same, [False])) | np.concatenate(([False], same))
+    if not often.any():
+        return np.zeros((2, 0), np.int64)
+    signature, node = signature[often], node[often]
+    first = np.flatnonzero(np.concatenate(([True], signature[1:] != signature[:-1])))
+    lowest = np.repeat(np.minimum.reduceat(node, first), np.diff(np.concatenate((first, [len(node)]))))
+    linked = node != lowest
+    return np.unique(np.stack((node[linked], lowest[linked])).view(np.int64), axis=1) if linked.any() else np.zeros((2, 0), np.int64)
+
+
+def _node_pairs(pairs: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
+
+
+def _dealt(signature: np.ndarray, node: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """One open row a signature, by bucket; the links that the batch itself shows stand in the first row."""
+    pairs = _shared(signature, node)
+    order = np.lexsort((node, signature))
+    signature, node = signature[order], node[order]
     fresh = np.ones(len(order), bool)
     fresh[1:] = signature[1:] != signature[:-1]
-    lowest = digest[fresh][np.cumsum(fresh) - 1]
-    linked = digest != lowest
-    pairs = np.unique(np.stack((digest[linked], lowest[linked])), axis=1) if linked.any() else np.zeros((2, 0), np.int64)
-    salt = mix(pairs[0].view(U64) * U64(BYTE_BASE) + pairs[1].view(U64))
-    b = pa.array(np.concatenate((np.zeros(int(fresh.sum()), np.int64), pairs[1])), mask=np.concatenate((np.ones(int(fresh.sum()), bool), np.zeros(pairs.shape[1], bool))))
-    return pa.RecordBatch.from_arrays([pa.array(np.concatenate((signature[fresh], salt)).view(np.int64)), pa.array(np.concatenate((digest[fresh], pairs[0]))), b], names=["signature", "a", "b"])
+    signature, node = signature[fresh], node[fresh]
+    bucket = (mix(signature) >> U64(40)).astype(np.int64) % buckets
+    order = np.argsort(bucket, kind="stable")
+    bucket = bucket[order]
+    edges = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1], [True]))) if len(bucket) else np.zeros(1, np.int64)
+    rows = np.empty((len(order), SIGNATURE_BYTES + NODE_BYTES), np.uint8)
+    rows[:, :SIGNATURE_BYTES] = signature[order].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :SIGNATURE_BYTES]
+    rows[:, SIGNATURE_BYTES:] = node[order].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :NODE_BYTES]
+    packed = [rows[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True)]
+    links = [pairs.tobytes() if pairs.shape[1] else b"", *[b""] * len(packed)][: len(packed)]
+    return pa.RecordBatch.from_arrays([pa.array(bucket[edges[:-1]], pa.int32()), pa.array(packed, pa.binary()), pa.array(links, pa.binary())], names=["bucket", "packed", "pairs"])
+
+
+def _unpacked(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
+    rows = np.frombuffer(packed, np.uint8).reshape(-1, SIGNATURE_BYTES + NODE_BYTES)
+    wide = np.zeros((len(rows), 16), np.uint8)
+    wide[:, :SIGNATURE_BYTES] = rows[:, :SIGNATURE_BYTES]
+    wide[:, 8 : 8 + NODE_BYTES] = rows[:, SIGNATURE_BYTES:]
+    both = wide.view("<u8").astype(U64)
+    return both[:, 0], both[:, 1]
 
 
 class Tree:
@@ -355,7 +414,8 @@ def linked(docs: DataFrame, size: int = 3, percent: int = 90, block_sets: int =
 
     clusters = components(cluster_links(docs.where("doc_id is not null"), rule), "a", "b")
     release(docs.sparkSession)  # the signatures' shuffle is the largest, and over
-    members = materialise(classes.join(clusters.withColumnRenamed("node", "d1").withColumnRenamed("component", "cluster"), "d1").select("representative", "n_shingles", "d1", "cluster"))
+    named = classes.withColumn("node", F.shiftrightunsigned("d1", 64 - 8 * NODE_BYTES))
+    members = materialise(named.join(clusters.withColumnRenamed("component", "cluster"), "node").select("representative", "n_shingles", "d1", "cluster"))
     sized = members.groupBy("cluster").agg(F.count("*").alias("sets"), F.sum("n_shingles").alias("total")).where("sets > 1")
     cut = F.greatest(F.ceil(F.col("sets") / block_sets), F.ceil(8 * F.col("total") / block_bytes)).cast("int")
     members = members.join(sized.select("cluster", "sets", cut.alias("cuts")), "cluster")

@@ -81,3 +81,31 @@ def estimated_repeated(keys: np.ndarray, sets: np.ndarray, bits: int = BITS) ->
         at = cells(keys, row, bits)
         found &= (sets[row][at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
     return found
+
+
+def without(docs: DataFrame, ids: DataFrame, bits: int = 24) -> DataFrame:
+    """The rows of docs, with all their columns, whose doc_id is none of ids (one column, long, no null).
+
+    Only rows that the sketch can't clear meet ids in a shuffle; the others stay
+    where they are. A null doc_id stays.
+    """
+    place, name = docs.columns.index("doc_id"), ids.columns[0]
+
+    def keys(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+        own = batch.column(0).to_numpy().view(U64)
+        yield np.concatenate((own, own))  # twice, so that the sketch tells them from others
+
+    shared = repeated(ids, keys, bits)
+
+    def part(held: bool) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                column = batch.column(place).cast(pa.int64())
+                known = column.is_valid().to_numpy(zero_copy_only=False)
+                flags = known & estimated_repeated(column.fill_null(0).to_numpy().view(U64), shared.value, bits)
+                yield batch.filter(pa.array(flags == held))
+
+        return docs.mapInArrow(run, docs.schema)
+
+    open_rows = part(True)
+    return part(False).union(open_rows.join(ids, open_rows["doc_id"].cast("long") == ids[name], "left_anti"))

@@ -5,6 +5,7 @@ import zlib
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import SF, edge_rows, tuples
 
@@ -145,6 +146,58 @@ def test_jaccard_near_the_threshold(spark):
         assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == expected
 
 
+def test_jaccard_signatures_travel_packed(spark):
+    """Ten bytes a signature, and links within and across batches as by whole signatures."""
+    rng = np.random.default_rng(3)
+    words = [f"w{i}" for i in range(4000)]
+    texts = [" ".join(rng.choice(words, 60)) for _ in range(40)]
+    texts += [t.replace(t.split()[7], "other", 1) for t in texts[:15]]
+    rule = jaccard.Rule(5, 80)
+    sets = jaccard.Sets(*textkit.binary(pa.array(texts)), rule.size)
+    signature, sender = sets.signatures(rule)
+    node = jaccard._node(sets.digest(textkit.WORD_BASE))
+    lowest: dict = {}
+    for s, n in zip(signature.tolist(), node[sender].tolist(), strict=True):
+        lowest[s] = min(n, lowest.get(s, n))
+    expected = {(n, lowest[s]) for s, n in zip(signature.tolist(), node[sender].tolist(), strict=True) if n != lowest[s]}
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for parts in (1, 3, 55):
+        dealt = docs.repartition(parts, "doc_id")
+        rows = jaccard.signature_rows(dealt, rule, 16)
+        size = rows.selectExpr("sum(length(packed))").first()[0]
+        assert size <= 10 * len(signature)
+        graph = {tuple(r) for r in jaccard.cluster_links(dealt, rule).collect()}
+        assert brute_components(graph) == brute_components(expected) and len(expected) >= 10
+
+
+def test_rows_that_are_no_copies_are_not_shuffled(spark, tmp_path):
+    rows = [(i if i % 50 else None, f"text {i}", i) for i in range(2000)] + [(7, "again", -1)]
+    spark.createDataFrame(rows, "doc_id int, text string, `n of it` long").write.parquet(f"{tmp_path}/docs")
+    spark.createDataFrame([(i,) for i in range(1, 2500, 10)], "doc_id long").write.parquet(f"{tmp_path}/ids")
+    docs, ids = spark.read.parquet(f"{tmp_path}/docs"), spark.read.parquet(f"{tmp_path}/ids")
+    for bits in (8, 24):  # a full sketch and an empty one
+        got = sketch.without(docs, ids, bits)
+        assert got.columns == docs.columns
+        assert sorted(map(repr, map(tuple, got.collect()))) == sorted(repr(r) for r in rows if r[0] is None or r[0] % 10 != 1)
+
+
+def brute_components(links: set) -> set:
+    parent: dict = {}
+
+    def root(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        parent[root(a)] = root(b)
+    groups: dict = {}
+    for x in list(parent):
+        groups.setdefault(root(x), set()).add(x)
+    return {frozenset(g) for g in groups.values()}
+
+
+
 def test_signature_tree_finds_every_link():
     rng = np.random.default_rng(3)
     rule = jaccard.Rule(3, 90)
