@@ -7,9 +7,11 @@ from bad is read off the labelled rows: of the thresholds that reject at most
 `most_good_lost` of the labelled good documents, the one that agrees with most
 labels. Documents that fail the base rules are rejected whatever their score.
 
-The forest and its threshold are fitted on at most `sample_rows` labelled rows,
-those with the smallest hash of their doc_id; statistics and verdicts cover every
-document.
+Box, trees and threshold come from all labelled rows, however many: the box by
+their extremes, each tree by its own draw from every good row (a draw of SAMPLE
+rows a tree is what an isolation forest is), the threshold exactly, by running
+counts over all their scores. None of them travels to the driver but the draws of
+the trees and sums of at most CELLS cells.
 
 Defined results: null, empty and wordless texts have no words and fail the base
 rules; a null doc_id stays null and is never a labelled row; equal rows give
@@ -25,15 +27,19 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tempora.llm.textkit import SPACE_WORDS, U64, Words, binary, blocks, hash_sample, id_and_text, materialise, mix, read_table, window_hash
+from tempora.llm.textkit import SPACE_WORDS, U64, Words, binary, blocks, id_and_text, materialise, mix, read_table, window_hash
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 #: What the trees split on.
 FEATURES = ("log_words", "word_length", "symbol_rate", "dup_line_rate", "repeat_rate", "upper_rate", "digit_rate", "mark_rate", "distinct_rate", "bar_rate", "words_per_line")
 SYMBOLS = b"#*$%&|<>"
+#: Trees of a forest and rows that each of them draws.
+TREES, SAMPLE = 200, 256
+#: Ranges of scores, for running counts.
+CELLS = 1 << 16
 
 
 def _table(members: bytes) -> np.ndarray:
@@ -142,24 +148,23 @@ class Forest:
     threshold: float = np.inf
 
     @classmethod
-    def grow(cls, rows: np.ndarray, around: np.ndarray, trees: int = 200, sample: int = 256, seed: int = 7) -> Forest:
-        """Trees on `rows`; cuts fall into the range of the rows, or of all of `around` inside the node's box.
+    def grow(cls, draws: list[np.ndarray], floor: np.ndarray, ceiling: np.ndarray, seed: int = 7) -> Forest:
+        """A tree on each draw of rows; cuts fall into the range of the rows, or of all of the box inside the node's.
 
         The second kind parts off empty space: what lies there is isolated
         early, even in a statistic that hardly varies between the rows.
         """
         rng = np.random.default_rng(seed)
-        sample = min(sample, len(rows))
+        trees, sample = len(draws), max(len(draw) for draw in draws)
         depth = max(1, int(np.ceil(np.log2(max(sample, 2)))) + 2)
         size = 1 << (depth + 1)
         feature = np.zeros((trees, size), np.int64)
         split = np.full((trees, size), np.inf)
         child = np.tile(np.arange(size), (trees, 1))
         path = np.zeros((trees, size))
-        floor, ceiling = around.min(0), around.max(0)
         varied = np.flatnonzero(ceiling > floor)
-        for tree in range(trees):
-            todo = [(1, rows[rng.choice(len(rows), sample, replace=False)], floor, ceiling, 0)]
+        for tree, draw in enumerate(draws):
+            todo = [(1, draw, floor, ceiling, 0)]
             while todo:
                 node, own, low, high, level = todo.pop()
                 if level == depth or len(own) <= 1 or not len(varied):
@@ -198,41 +203,75 @@ def _mean_path(n: int) -> float:
     return 2 * (np.log(n - 1) + 0.5772156649) - 2 * (n - 1) / n if n > 2 else 1.0
 
 
-def labelled(labels: DataFrame, sample_rows: int = 20_000) -> DataFrame:
-    """doc_id and quality of at most sample_rows labels, those with the smallest hash of doc_id."""
+def _draws(good: DataFrame, total: int) -> list[np.ndarray]:
+    """For each tree the SAMPLE rows of all good ones with the smallest hashes of row and tree.
+
+    A bound on the hashes leaves about twice as many before they are ordered, however many rows there are.
+    """
+    bound = (1 << 64) - 1 if total <= 2 * SAMPLE else int((1 << 64) * (2 * SAMPLE / total))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            place = batch.column(0).to_numpy().view(U64)
+            key = mix(place[:, None] + mix(np.arange(1, TREES + 1, dtype=U64)))
+            row, tree = np.nonzero(key <= U64(bound))
+            columns = [pa.array(tree.astype(np.int32)), pa.array(key[row, tree].view(np.int64)), *(c.take(pa.array(row)) for c in batch.columns[1:])]
+            yield pa.RecordBatch.from_arrays(columns, names=["tree", "key", *FEATURES])
+
+    found = good.select(F.xxhash64("doc_id", *FEATURES), *FEATURES).mapInArrow(run, ", ".join(["tree int, key long", *(f"{f} double" for f in FEATURES)])).toArrow()
+    tree, key = found["tree"].to_numpy(), found["key"].to_numpy().view(U64)
+    rows = np.stack([found[f].to_numpy() for f in FEATURES], axis=1)
+    order = np.lexsort((*rows.T, key, tree))
+    edges = np.searchsorted(tree[order], np.arange(TREES + 1))
+    return [rows[order[a : min(b, a + SAMPLE)]] for a, b in zip(edges[:-1], edges[1:], strict=True)]
+
+
+def threshold(scored: DataFrame, n_good: int, most_good_lost: float) -> float:
+    """Of the scores, as cuts, the smallest that agrees with most labels and loses at most that share of the good rows."""
+    steps = scored.groupBy("score").agg(F.sum("quality").alias("good"), F.count("*").alias("rows"))
+    steps = materialise(steps.select("score", F.floor(F.col("score") * CELLS).cast("int").alias("cell"), "good", (F.col("rows") - F.col("good")).alias("bad")))
+    # what lies above: of other cells (at most CELLS + 1 rows in one task), then of the own one
+    above = Window.orderBy(F.desc("cell")).rowsBetween(Window.unboundedPreceding, -1)
+    cells = steps.groupBy("cell").agg(F.sum("good").alias("g"), F.sum("bad").alias("b"))
+    cells = cells.select("cell", *(F.coalesce(F.sum(c).over(above), F.lit(0)).alias(f"{c}_above") for c in "gb"))
+    own = Window.partitionBy("cell").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
+    cuts = steps.join(F.broadcast(cells), "cell").select("score", (F.sum("good").over(own) + F.col("g_above")).alias("lost"), (F.sum("bad").over(own) + F.col("b_above")).alias("gained"))
+    best = cuts.where((F.col("lost") / n_good <= most_good_lost) & (F.col("gained") > F.col("lost"))).orderBy(F.desc(F.col("gained") - F.col("lost")), "score").first()
+    return np.inf if best is None else best["score"]
+
+
+def fit(stats: DataFrame, labels: DataFrame, most_good_lost: float = 0.001) -> Forest:
+    """Grows the forest and calibrates its threshold on all labelled rows; equal rows count once."""
     marks = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")).where("quality is not null and doc_id is not null")
-    return hash_sample(marks, "doc_id", sample_rows)
-
-
-def fit(stats: DataFrame, labels: DataFrame, sample_rows: int = 20_000, most_good_lost: float = 0.001) -> Forest:
-    """Grows the forest and calibrates its threshold on a bounded sample of labelled rows; equal rows count once."""
-    marks = F.broadcast(labelled(labels, sample_rows))  # at most sample_rows rows
-    joined = stats.where("not base_failed").join(marks, "doc_id").select(F.xxhash64("doc_id").alias("place"), "doc_id", "quality", *FEATURES).distinct()
-    chosen = joined.orderBy("place", "doc_id", "quality", *FEATURES).limit(sample_rows).collect()
-    sample = np.array([tuple(r)[2:] for r in chosen], float).reshape(-1, 1 + len(FEATURES))
-    good = sample[:, 0] == 1
-    if good.sum() < 8 or (~good).sum() < 1:
-        return Forest.grow(np.zeros((2, len(FEATURES))), np.zeros((2, len(FEATURES))), trees=1)
-    forest = Forest.grow(sample[good][:, 1:], sample[:, 1:])
-    scores = forest.score(sample[:, 1:])
-    best, forest.threshold = 0.0, np.inf
-    for cut in np.unique(scores):
-        rejected = scores >= cut
-        lost = rejected[good].mean()
-        gained = (rejected & ~good).sum() - (rejected & good).sum()
-        if lost <= most_good_lost and gained > best:
-            best, forest.threshold = gained, float(cut)
+    known = materialise(stats.where("not base_failed").join(marks.distinct(), "doc_id").select("doc_id", (F.col("quality") == 1).cast("int").alias("quality"), *FEATURES).distinct())
+    sides = [F.count("*").alias("n"), F.sum("quality").alias("good"), *(F.min(f).alias(f"low {f}") for f in FEATURES), *(F.max(f).alias(f"high {f}") for f in FEATURES)]
+    box = known.agg(*sides).first()
+    n_good = box["good"] or 0
+    if n_good < 8 or n_good == box["n"]:
+        return Forest.grow([np.zeros((2, len(FEATURES)))], np.zeros(len(FEATURES)), np.zeros(len(FEATURES)))
+    floor, ceiling = (np.array([box[f"{side} {f}"] for f in FEATURES]) for side in ("low", "high"))
+    forest = Forest.grow(_draws(known.where("quality = 1"), n_good), floor, ceiling)
+    shared = stats.sparkSession.sparkContext.broadcast(forest)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(shared.value.score(_feature_rows(batch)))], names=["quality", "score"])
+
+    forest.threshold = threshold(known.select("quality", *FEATURES).mapInArrow(run, "quality int, score double"), n_good, most_good_lost)
     return forest
 
 
+def _feature_rows(batch: pa.RecordBatch) -> np.ndarray:
+    return np.stack([batch.column(f).to_numpy(zero_copy_only=False) for f in FEATURES], axis=1)
+
+
 def verdicts(stats: DataFrame, forest: Forest) -> DataFrame:
     """Adds the anomaly score and the verdict to a table of statistics."""
     shared = stats.sparkSession.sparkContext.broadcast(forest)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = np.stack([batch.column(f).to_numpy(zero_copy_only=False) for f in FEATURES], axis=1)
-            scores = shared.value.score(rows)
+            scores = shared.value.score(_feature_rows(batch))
             failed = batch.column("base_failed").to_numpy(zero_copy_only=False).astype(bool)
             kept = ~failed & (scores < shared.value.threshold)
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", *COUNTS, "base_failed")), pa.array(kept), pa.array(scores)], names=["doc_id", *COUNTS, "base_failed", "kept", "anomaly"])
@@ -242,9 +281,7 @@ def verdicts(stats: DataFrame, forest: Forest) -> DataFrame:
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents, with all their columns, that the verdict keeps; texts are never shuffled."""
-    marks = labelled(labels).select(F.col("doc_id").alias("labelled id")).distinct()
-    sample = docs.join(F.broadcast(marks), docs["doc_id"].cast("long") == F.col("labelled id"), "left_semi")
-    shared = docs.sparkSession.sparkContext.broadcast(fit(statistics(sample), labels))
+    shared = docs.sparkSession.sparkContext.broadcast(fit(statistics(docs), labels))
     place = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

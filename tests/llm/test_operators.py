@@ -5,6 +5,7 @@ import zlib
 
 import brute
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 from conftest import SF, edge_rows, tuples
@@ -249,6 +250,26 @@ def test_quality_without_labels_keeps_what_passes(spark, edge):
     assert all(r["kept"] != r["base_failed"] for r in got) and len(got) == len(EDGE)
 
 
+def test_the_verdict_is_fitted_on_all_labelled_rows(spark):
+    rng = np.random.default_rng(3)
+    n = 24_000  # more than the bounded sample of before
+    marks = (rng.random(n) < 0.9).astype(int)
+    rows = rng.normal(0, 1, (n, len(quality.FEATURES))) + 3 * (1 - marks)[:, None] * rng.random((n, 1))
+    frame = pd.DataFrame(rows, columns=list(quality.FEATURES)).assign(doc_id=np.arange(n), base_failed=False)
+    labels = spark.createDataFrame(pd.DataFrame({"doc_id": np.arange(n), "quality": marks}))
+    forest = quality.fit(spark.createDataFrame(frame), labels)
+    scores, good = forest.score(rows), marks == 1
+    best, cut = 0, np.inf
+    for score in np.unique(scores)[::-1]:
+        rejected = scores >= score
+        if rejected[good].mean() > 0.001:
+            break
+        gained = int((rejected & ~good).sum()) - int((rejected & good).sum())
+        if gained > 0 and gained >= best:
+            best, cut = gained, score
+    assert forest.threshold == cut < np.inf
+
+
 # ---- 5: line dedup
 
 
