@@ -14,7 +14,11 @@
    together, and left when their sizes are too far apart or when the bits they
    share can't make up the overlap that a link needs. Pairs of sets that remain
    are compared exactly, unless they are already in one component.
-4. A cluster too large for one task is cut into blocks that share a few pivot
+   A cluster too large for one task is routed once more: its sets order their
+   shingles by how often they stand in such clusters, those of one set first, and
+   two linked sets share one of the first of each (prefix filter), so again no true link is lost, while
+   sets that only share frequent passages part.
+4. A cluster still too large for one task is cut into blocks that share a few pivot
    sets. Blocks are compared with each other only where the cluster still has
    more than one component.
 
@@ -47,6 +51,8 @@ PIVOTS = 8
 FANOUT = 8
 #: A signature and its sender travel in so many bytes; each shuffle partition gets about so many buckets of them.
 SIGNATURE_BYTES, NODE_BYTES, BUCKETS = 5, 5, 4
+#: Cells in which the shingles of large clusters are counted for their order.
+CELLS = 1 << 18
 #: Members of clusters that are broadcast at most (about 60 bytes each); more are joined by a shuffle.
 BROADCAST_ROWS = 500_000
 
@@ -176,6 +182,16 @@ def signature_rows(docs: DataFrame, rule: Rule, buckets: int) -> DataFrame:
 
 def cluster_links(docs: DataFrame, rule: Rule) -> DataFrame:
     """Pairs of nodes (a, b) that share a signature with the smallest of its senders."""
+    buckets = _buckets(docs.sparkSession)
+    return _met(signature_rows(docs, rule, buckets))
+
+
+def _buckets(spark: SparkSession) -> int:
+    return BUCKETS * int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _met(rows: DataFrame) -> DataFrame:
+    """Pairs of nodes of signatures that were dealt to buckets."""
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list[bytes]] = {}
@@ -187,8 +203,63 @@ def cluster_links(docs: DataFrame, rule: Rule) -> DataFrame:
         while held:
             yield _node_pairs(_shared(*_unpacked(b"".join(held.popitem()[1]))))
 
-    buckets = BUCKETS * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return signature_rows(docs, rule, buckets).repartition("bucket").mapInArrow(meet, "a long, b long").distinct()
+    return rows.repartition("bucket").mapInArrow(meet, "a long, b long").distinct()
+
+
+def _values(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The shingles of all sets of a column, and how many each set has."""
+    data, offsets = binary(column)
+    return data[offsets[0] : offsets[-1]].view(U64), np.diff(offsets) // 8
+
+
+def prefix_links(sets: DataFrame, rule: Rule) -> DataFrame:
+    """Pairs of nodes (a, b) of one cluster that share one of their first shingles, rarest first.
+
+    Linked sets overlap in at least percent / 100 of each, so one of the first n - overlap + 1
+    of each is common, in any order that all share. Shingles of one set only come first, and
+    link nothing; a fuller sketch takes some of them for repeated ones, and loses no link.
+    """
+
+    def keys(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+        yield _values(batch.column(2))[0]
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(CELLS, np.int64)
+        for batch in batches:
+            total += np.bincount((_values(batch.column(2))[0] % U64(CELLS)).astype(np.int64), minlength=CELLS)
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(total[some])], names=["cell", "n"])
+
+    counted = sets.mapInArrow(count, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()  # at most CELLS rows
+    often = np.zeros(CELLS, np.int64)
+    often[counted["cell"].to_numpy()] = counted["n"].to_numpy()
+    shared, buckets = sets.sparkSession.sparkContext.broadcast(often), _buckets(sets.sparkSession)
+    several = sketch.repeated(sets, keys)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values, n = _values(batch.column(2))
+            first = np.concatenate(([0], np.cumsum(n)))
+            owner = np.repeat(np.arange(len(n)), n)
+            counts = np.where(sketch.estimated_repeated(values, several.value), shared.value[(values % U64(CELLS)).astype(np.int64)], 0)
+            order = np.lexsort((values, counts, owner))
+            front = np.arange(len(values)) - first[owner] < (n + n * -rule.percent // 100 + 1)[owner]
+            owner, values = owner[front], values[order][front]
+            cluster = batch.column(3).to_numpy().view(U64)
+            yield _dealt(mix(values + mix(cluster)[owner]), _node(batch.column(1).to_numpy())[owner], buckets)
+
+    return _met(sets.mapInArrow(run, "bucket int, packed binary, pairs binary"))
+
+
+def _parted(docs: DataFrame, members: DataFrame, large: DataFrame, rule: Rule) -> DataFrame:
+    """The members with the smaller clusters into which the prefix filter parts the large ones; written once."""
+    wide = materialise(members.join(large.select("cluster"), "cluster"))
+    sets = _with_sets(docs, wide, rule).select("representative", "d1", "shingles", "cluster")
+    parts = components(prefix_links(sets, rule), "a", "b").withColumnRenamed("component", "cluster")
+    release(docs.sparkSession)
+    named = wide.drop("cluster").withColumn("node", F.shiftrightunsigned("d1", 64 - 8 * NODE_BYTES)).join(parts, "node")
+    rest = members.join(large.select("cluster"), "cluster", "left_anti")
+    return materialise(rest.unionByName(named.select(*rest.columns)))
 
 
 def _shared(signature: np.ndarray, node: np.ndarray) -> np.ndarray:
@@ -408,6 +479,7 @@ def _pairs(links: list[tuple[int, int]]) -> pa.RecordBatch:
 def linked(docs: DataFrame, size: int = 3, percent: int = 90, block_sets: int = BLOCK_SETS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """doc_id, n_shingles and component_id of every row of docs."""
     rule = Rule(size, percent)
+    release(docs.sparkSession)  # what earlier steps left
     all_rows = materialise(set_classes(docs, rule))
     known = all_rows.where("doc_id is not null")
     classes = known.where("n_shingles > 0").groupBy("n_shingles", "d1", "d2").agg(F.min("doc_id").alias("representative"))
@@ -416,8 +488,11 @@ def linked(docs: DataFrame, size: int = 3, percent: int = 90, block_sets: int =
     release(docs.sparkSession)  # the signatures' shuffle is the largest, and over
     named = classes.withColumn("node", F.shiftrightunsigned("d1", 64 - 8 * NODE_BYTES))
     members = materialise(named.join(clusters.withColumnRenamed("component", "cluster"), "node").select("representative", "n_shingles", "d1", "cluster"))
-    sized = members.groupBy("cluster").agg(F.count("*").alias("sets"), F.sum("n_shingles").alias("total")).where("sets > 1")
     cut = F.greatest(F.ceil(F.col("sets") / block_sets), F.ceil(8 * F.col("total") / block_bytes)).cast("int")
+    large = materialise(_sized(members).where(cut > 1))
+    if large.limit(1).count():
+        members = _parted(docs, members, large, rule)
+    sized = _sized(members)
     members = members.join(sized.select("cluster", "sets", cut.alias("cuts")), "cluster")
     placed = members.withColumn("block", F.pmod(F.xxhash64("representative"), F.col("cuts")).cast("int"))
     pivot = F.pmod(F.xxhash64("representative", F.lit(1)), F.col("sets")) < PIVOTS
@@ -458,6 +533,11 @@ def linked(docs: DataFrame, size: int = 3, percent: int = 90, block_sets: int =
     return out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("class_component", "doc_id")).alias("component_id"))
 
 
+def _sized(members: DataFrame) -> DataFrame:
+    """The sets and shingles of every cluster of several sets."""
+    return members.groupBy("cluster").agg(F.count("*").alias("sets"), F.sum("n_shingles").alias("total")).where("sets > 1")
+
+
 def _with_sets(docs: DataFrame, members: DataFrame, rule: Rule) -> DataFrame:
     """Adds the sorted shingle hashes of the representatives; other texts stay where they are."""
 

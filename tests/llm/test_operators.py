@@ -199,6 +199,21 @@ def brute_components(links: set) -> set:
 
 
 
+def test_large_clusters_part_where_sets_only_share_passages(spark):
+    rng = random.Random(4)
+    passages = [" ".join(f"p{i}x{k}" for k in range(12)) for i in range(8)]
+    texts = [" ".join([*(f"u{i}x{k}" for k in range(60)), passages[i % 8], passages[rng.randrange(8)]]) for i in range(64)]
+    texts += [t + " tail" for t in texts[:5]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rule = jaccard.Rule(3, 90)
+    classes = jaccard.set_classes(docs, rule).withColumnRenamed("doc_id", "representative").withColumn("cluster", textkit.F.lit(7).cast("long"))
+    members = textkit.materialise(classes.select("representative", "n_shingles", "d1", "cluster"))
+    parts = jaccard._parted(docs, members, members.select("cluster").distinct(), rule).toPandas()
+    assert {frozenset(x) for x in parts.groupby("cluster").representative.agg(list)} == {frozenset((i, 64 + i)) for i in range(5)}
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.linked(docs, block_sets=4).collect()}
+    assert got == {i: i % 64 for i in range(69)}
+
+
 def test_signature_tree_finds_every_link():
     rng = np.random.default_rng(3)
     rule = jaccard.Rule(3, 90)
