@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tempora.llm.components import components, salted_join
-from tempora.llm.textkit import id_and_text, materialise, read_table, scope
+from tempora.llm.textkit import id_and_text, materialise, read_table, release, scope
 
 BANDS, ROWS = 8, 4
 #: Bits that a signature holds of a minimum.
@@ -233,7 +233,9 @@ def similar_lines(table: DataFrame, found: DataFrame, percent: int = 80) -> Data
     buckets = table.select("id", F.explode(bands).alias("bucket"))
     ends = buckets.groupBy("bucket").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low <> high")
     met = materialise(buckets.join(ends.select("bucket", "low"), "bucket"))
+    release(table.sparkSession)
     texts = _texts(met.select("id"), table, found)
+    release(table.sparkSession)
     links = _verified(_near(met.where("low <> id").select(F.col("low").alias("a"), F.col("id").alias("b")), table), texts, percent)
     members = _open(met, links)
     for level in range(LEVELS):
@@ -251,6 +253,7 @@ def similar_lines(table: DataFrame, found: DataFrame, percent: int = 80) -> Data
 def _kept_lines(found: DataFrame, percent: int) -> DataFrame:
     """k1, k2, kept (the place that stays) and n of lines of which an occurrence goes; written once."""
     table = line_table(found)
+    release(found.sparkSession)  # the shuffle of the lines
     tied = components(similar_lines(table, found, percent), "a", "b").withColumnRenamed("node", "id")
     place = F.struct("doc_id", "at")
     member = materialise(table.select("id", "k1", "k2", place.alias("own"), "n").join(tied, "id"))
