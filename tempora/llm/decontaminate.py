@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tempora.llm.suffixes import suffix_array
-from tempora.llm.textkit import ALNUM_WORDS, Words, binary, blocks, id_and_text, materialise, read_table, window_hash
+from tempora.llm.textkit import ALNUM_WORDS, Words, binary, blocks, id_and_text, lean, materialise, read_table, window_hash
 
 SPAN = "struct<first:long,last:long>"
 #: UTF-8 bytes of benchmark text in one block of phrases, which is broadcast.
@@ -244,7 +244,7 @@ def find_hits(docs: DataFrame, items: list[tuple[str, str]], size: int = 13, sha
             for a, b in blocks(offsets, shard_bytes):
                 yield _shard_result(phrases, batch.column(0).slice(a, b - a), data, offsets[a : b + 1])
 
-    return id_and_text(docs).mapInArrow(run, f"doc_id long, n_words long, spans array<{SPAN}>, items array<string>")
+    return id_and_text(docs).mapInArrow(lean(run), f"doc_id long, n_words long, spans array<{SPAN}>, items array<string>")
 
 
 _RESULT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("spans", pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))), ("items", pa.list_(pa.string()))])
@@ -329,7 +329,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = 13, block_t
         found = hits if found is None else found.unionByName(hits)
     # every item is in one block
     numbered = found.groupBy("doc_id").agg(F.first("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("spans"), F.flatten(F.collect_list("items")).alias("items"))
-    merged = numbered.mapInArrow(_merge_passes, f"row long, n_words long, spans array<{SPAN}>, items array<string>")
+    merged = numbered.mapInArrow(lean(_merge_passes), f"row long, n_words long, spans array<{SPAN}>, items array<string>")
     return rows.select("row", "doc_id").join(merged, "row").drop("row")
 
 

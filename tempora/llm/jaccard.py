@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 
 from tempora.llm import sketch
 from tempora.llm.components import components
-from tempora.llm.textkit import BYTE_BASE, SPACE_WORDS, U64, WORD_BASE, WORD_BASE_2, Words, binary, blocks, id_and_text, materialise, mix, read_table, release, window_hash
+from tempora.llm.textkit import BYTE_BASE, SPACE_WORDS, U64, WORD_BASE, WORD_BASE_2, Words, binary, blocks, id_and_text, lean, materialise, mix, read_table, release, window_hash
 
 #: A block of a cluster holds about so many sets, and bytes of sets.
 BLOCK_SETS, BLOCK_BYTES = 4096, 16 << 20
@@ -153,7 +153,7 @@ def set_classes(docs: DataFrame, rule: Rule) -> DataFrame:
             columns = [batch.column(0), pa.array(sets.counts.astype(np.int64)), pa.array(sets.digest(WORD_BASE).view(np.int64)), pa.array(sets.digest(BYTE_BASE).view(np.int64))]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_shingles", "d1", "d2"])
 
-    return id_and_text(docs).mapInArrow(run, "doc_id long, n_shingles long, d1 long, d2 long")
+    return id_and_text(docs).mapInArrow(lean(run), "doc_id long, n_shingles long, d1 long, d2 long")
 
 
 def _node(digest: np.ndarray) -> np.ndarray:
@@ -177,7 +177,7 @@ def signature_rows(docs: DataFrame, rule: Rule, buckets: int) -> DataFrame:
             if found:
                 yield _dealt(*(np.concatenate(x) for x in zip(*found, strict=True)), buckets)
 
-    return id_and_text(docs).mapInArrow(run, "bucket int, packed binary, pairs binary")
+    return id_and_text(docs).mapInArrow(lean(run), "bucket int, packed binary, pairs binary")
 
 
 def cluster_links(docs: DataFrame, rule: Rule) -> DataFrame:
@@ -203,7 +203,7 @@ def _met(rows: DataFrame) -> DataFrame:
         while held:
             yield _node_pairs(_shared(*_unpacked(b"".join(held.popitem()[1]))))
 
-    return rows.repartition("bucket").mapInArrow(meet, "a long, b long").distinct()
+    return rows.repartition("bucket").mapInArrow(lean(meet), "a long, b long").distinct()
 
 
 def _values(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -230,7 +230,7 @@ def prefix_links(sets: DataFrame, rule: Rule) -> DataFrame:
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(total[some])], names=["cell", "n"])
 
-    counted = sets.mapInArrow(count, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()  # at most CELLS rows
+    counted = sets.mapInArrow(lean(count), "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()  # at most CELLS rows
     often = np.zeros(CELLS, np.int64)
     often[counted["cell"].to_numpy()] = counted["n"].to_numpy()
     shared, buckets = sets.sparkSession.sparkContext.broadcast(often), _buckets(sets.sparkSession)
@@ -248,7 +248,7 @@ def prefix_links(sets: DataFrame, rule: Rule) -> DataFrame:
             cluster = batch.column(3).to_numpy().view(U64)
             yield _dealt(mix(values + mix(cluster)[owner]), _node(batch.column(1).to_numpy())[owner], buckets)
 
-    return _met(sets.mapInArrow(run, "bucket int, packed binary, pairs binary"))
+    return _met(sets.mapInArrow(lean(run), "bucket int, packed binary, pairs binary"))
 
 
 def _parted(docs: DataFrame, members: DataFrame, large: DataFrame, rule: Rule) -> DataFrame:
@@ -507,7 +507,7 @@ def linked(docs: DataFrame, size: int = 3, percent: int = 90, block_sets: int =
             links = tree_links([np.frombuffer(r[3], np.uint64) for r in rows], rule)
             yield _pairs([(rows[i][2], rows[j][2]) for i, j in links])
 
-    links = materialise(inside.repartition("cluster", "part").sortWithinPartitions("cluster", "part").mapInArrow(within, "a long, b long"))
+    links = materialise(inside.repartition("cluster", "part").sortWithinPartitions("cluster", "part").mapInArrow(lean(within), "a long, b long"))
     release(docs.sparkSession)
 
     # block against block, where a cut cluster is not yet one component
@@ -524,7 +524,7 @@ def linked(docs: DataFrame, size: int = 3, percent: int = 90, block_sets: int =
                 links = tree_links([np.frombuffer(r[6], np.uint64) for r in rows], rule, [r[5] for r in rows], side)
                 yield _pairs([(rows[i][4], rows[j][4]) for i, j in links])
 
-        links = links.unionByName(across.repartition("cluster", "low", "high").sortWithinPartitions("cluster", "low", "high").mapInArrow(between, "a long, b long"))
+        links = links.unionByName(across.repartition("cluster", "low", "high").sortWithinPartitions("cluster", "low", "high").mapInArrow(lean(between), "a long, b long"))
 
     tied = components(links, "a", "b")
     named = classes.join(tied.withColumnRenamed("node", "representative"), "representative", "left")
@@ -556,7 +556,7 @@ def _with_sets(docs: DataFrame, members: DataFrame, rule: Rule) -> DataFrame:
                 shingles = pa.Array.from_buffers(pa.binary(), len(part), [None, edges.buffers()[1], pa.py_buffer(sets.values.tobytes())])
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets.digest(WORD_BASE).view(np.int64)), shingles], names=["representative", "d1", "shingles"])
 
-    rows = id_and_text(docs).where("doc_id is not null").mapInArrow(run, "representative long, d1 long, shingles binary")
+    rows = id_and_text(docs).where("doc_id is not null").mapInArrow(lean(run), "representative long, d1 long, shingles binary")
     small = members.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
     return rows.join(F.broadcast(members) if small else members, ["representative", "d1"])
 

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tempora.llm.textkit import id_and_text, read_table
+from tempora.llm.textkit import id_and_text, kept, lean, read_table
 
 #: Words remembered by one Python worker; memory stays below about 250 MB.
 REMEMBERED = 1_200_000
@@ -68,14 +68,12 @@ class WordIds(dict):
         return b"".join(map(self.__getitem__, (text or "").encode().split()))
 
 
-_WORD_IDS: dict[str, WordIds] = {}
-
-
 def _word_ids(vocabulary: str) -> WordIds:
     """One table a worker process, whatever the number of its tasks."""
-    if vocabulary not in _WORD_IDS:
-        _WORD_IDS[vocabulary] = WordIds(vocabulary)
-    return _WORD_IDS[vocabulary]
+    tables = kept("packing")
+    if vocabulary not in tables:
+        tables[vocabulary] = WordIds(vocabulary)
+    return tables[vocabulary]
 
 
 @dataclass
@@ -209,7 +207,7 @@ def pack(docs: DataFrame, vocabulary: str, limits: Limits = Limits(), end_id: in
         packer.finish()
         yield _rows(packer.done, number)
 
-    return id_and_text(docs, silent.alias("silent")).mapInArrow(run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, loss_tokens long")
+    return id_and_text(docs, silent.alias("silent")).mapInArrow(lean(run, "packing"), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, loss_tokens long")
 
 
 def _rows(sequences: list[list[Piece]], number: int) -> pa.RecordBatch:

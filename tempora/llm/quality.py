@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tempora.llm.textkit import SPACE_WORDS, U64, Words, binary, blocks, id_and_text, materialise, mix, read_table, window_hash
+from tempora.llm.textkit import SPACE_WORDS, U64, Words, binary, blocks, id_and_text, lean, materialise, mix, read_table, window_hash
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 #: What the trees split on.
@@ -132,7 +132,7 @@ def statistics(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", *COUNTS, *FEATURES, "base_failed"])
 
     schema = ", ".join(["doc_id long", *(f"{c} long" for c in COUNTS), *(f"{f} double" for f in FEATURES), "base_failed boolean"])
-    return id_and_text(docs).mapInArrow(run, schema)
+    return id_and_text(docs).mapInArrow(lean(run), schema)
 
 
 @dataclass
@@ -218,7 +218,7 @@ def _draws(good: DataFrame, total: int) -> list[np.ndarray]:
             columns = [pa.array(tree.astype(np.int32)), pa.array(key[row, tree].view(np.int64)), *(c.take(pa.array(row)) for c in batch.columns[1:])]
             yield pa.RecordBatch.from_arrays(columns, names=["tree", "key", *FEATURES])
 
-    found = good.select(F.xxhash64("doc_id", *FEATURES), *FEATURES).mapInArrow(run, ", ".join(["tree int, key long", *(f"{f} double" for f in FEATURES)])).toArrow()
+    found = good.select(F.xxhash64("doc_id", *FEATURES), *FEATURES).mapInArrow(lean(run), ", ".join(["tree int, key long", *(f"{f} double" for f in FEATURES)])).toArrow()
     tree, key = found["tree"].to_numpy(), found["key"].to_numpy().view(U64)
     rows = np.stack([found[f].to_numpy() for f in FEATURES], axis=1)
     order = np.lexsort((*rows.T, key, tree))
@@ -257,7 +257,7 @@ def fit(stats: DataFrame, labels: DataFrame, most_good_lost: float = 0.001) -> F
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(shared.value.score(_feature_rows(batch)))], names=["quality", "score"])
 
-    forest.threshold = threshold(known.select("quality", *FEATURES).mapInArrow(run, "quality int, score double"), n_good, most_good_lost)
+    forest.threshold = threshold(known.select("quality", *FEATURES).mapInArrow(lean(run), "quality int, score double"), n_good, most_good_lost)
     return forest
 
 
@@ -276,7 +276,7 @@ def verdicts(stats: DataFrame, forest: Forest) -> DataFrame:
             kept = ~failed & (scores < shared.value.threshold)
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", *COUNTS, "base_failed")), pa.array(kept), pa.array(scores)], names=["doc_id", *COUNTS, "base_failed", "kept", "anomaly"])
 
-    return stats.mapInArrow(run, ", ".join(["doc_id long", *(f"{c} long" for c in COUNTS), "base_failed boolean, kept boolean, anomaly double"]))
+    return stats.mapInArrow(lean(run), ", ".join(["doc_id long", *(f"{c} long" for c in COUNTS), "base_failed boolean, kept boolean, anomaly double"]))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -290,7 +290,7 @@ def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
             kept = ~base_failed(counts) & (shared.value.score(features) < shared.value.threshold)
             yield batch.filter(pa.array(kept))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)
 
 
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 
-from tempora.llm.textkit import U64, mix
+from tempora.llm.textkit import U64, lean, mix
 
 ROWS = 2
 #: Cells of one row: 2 ** BITS; the set of a row then takes 2 ** (BITS - 3) bytes, 32 MB for both.
@@ -68,7 +68,7 @@ def repeated(docs: DataFrame, keys: Callable[[pa.RecordBatch], Iterator[np.ndarr
             packed = np.packbits(flags, bitorder="little").tobytes()
             yield pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array([packed], pa.binary())], names=["slice", "cells"])
 
-    merged = docs.mapInArrow(count, "slice int, once binary, twice binary").repartition("slice").mapInArrow(merge, "slice int, cells binary")
+    merged = docs.mapInArrow(lean(count), "slice int, once binary, twice binary").repartition("slice").mapInArrow(lean(merge), "slice int, cells binary")
     sets = np.zeros((slices, (1 << part) // 8 or 1), np.uint8)
     for row in merged.toLocalIterator():  # bounded: a set of each row of the sketch
         sets[row["slice"]] = np.frombuffer(bytes(row["cells"]), np.uint8)
@@ -105,7 +105,7 @@ def without(docs: DataFrame, ids: DataFrame, bits: int = 24) -> DataFrame:
                 flags = known & estimated_repeated(column.fill_null(0).to_numpy().view(U64), shared.value, bits)
                 yield batch.filter(pa.array(flags == held))
 
-        return docs.mapInArrow(run, docs.schema)
+        return docs.mapInArrow(lean(run), docs.schema)
 
     open_rows = part(True)
     return part(False).union(open_rows.join(ids, open_rows["doc_id"].cast("long") == ids[name], "left_anti"))

@@ -8,11 +8,12 @@ no Python code runs per word.
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import hashlib
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 import numpy as np
@@ -183,6 +184,45 @@ def sliding(values: np.ndarray, span: int, pick: np.ufunc, fill: int) -> np.ndar
     return pick(right[: n - span + 1], left[span - 1 : n])
 
 
+#: What this worker process keeps from task to task, by the operator that fills it.
+_KEPT: dict[str, dict] = {}
+
+
+def kept(owner: str) -> dict:
+    """The tables of one operator, until tasks of another begin in this process."""
+    return _KEPT.setdefault(owner, {})
+
+
+def _begin(owner: str) -> None:
+    for other in [name for name in _KEPT if name != owner]:
+        del _KEPT[other]
+    _give_back()
+
+
+def _give_back() -> None:
+    """Free memory that Arrow and the C library hold goes back to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not every C library has it
+    if trim:
+        trim(0)
+
+
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], owner: str = "") -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A function for mapInArrow whose worker holds no tables of other operators, and no free memory when a task is over.
+
+    Workers outlive their tasks, so without this an operator's memory adds to that of all before it.
+    """
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _begin(owner)
+        try:
+            yield from run(batches)
+        finally:
+            _give_back()
+
+    return task
+
+
 def scratch(spark: SparkSession) -> str:
     """The folder that driver and executors share; set here only where it is unset."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")

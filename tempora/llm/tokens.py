@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from tempora.llm.textkit import id_and_text, read_table
+from tempora.llm.textkit import id_and_text, kept, lean, read_table
 
 SPACE = "▁"
 #: Parts remembered by one Python worker; memory stays below about 250 MB.
@@ -119,19 +119,17 @@ def count_tokens(docs: DataFrame, vocabulary: str, limit: int = 4096) -> DataFra
             lengths = pa.compute.binary_length(n_bytes).cast(pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0), lengths, pa.array(sizes), pa.array(sizes > limit)], names=["doc_id", "n_bytes", "n_tokens", "over_limit"])
 
-    return id_and_text(docs).mapInArrow(run, "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
-
-
-_COUNTERS: dict[str, PieceCounter] = {}
+    return id_and_text(docs).mapInArrow(lean(run, "tokens"), "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
 
 
 def _counter(vocabulary: str) -> PieceCounter:
     """One counter a worker process, whatever the number of its tasks."""
-    if vocabulary not in _COUNTERS:
+    counters = kept("tokens")
+    if vocabulary not in counters:
         import public_tokenizers
 
-        _COUNTERS[vocabulary] = PieceCounter.from_model(public_tokenizers.path(vocabulary))
-    return _COUNTERS[vocabulary]
+        counters[vocabulary] = PieceCounter.from_model(public_tokenizers.path(vocabulary))
+    return counters[vocabulary]
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -285,6 +285,18 @@ def test_the_verdict_is_fitted_on_all_labelled_rows(spark):
     assert forest.threshold == cut < np.inf
 
 
+# ---- workers
+
+
+def test_a_worker_drops_the_tables_of_other_operators():
+    texts = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array(["some words", None])], names=["doc_id", "text"])
+    packing._word_ids("word_bpe_49k.json").encode("some words")
+    assert list(textkit.lean(iter, "packing")([texts])) == [texts]
+    assert textkit.kept("packing")  # for its own next task
+    assert list(textkit.lean(iter)([texts])) == [texts]
+    assert not textkit.kept("packing")
+
+
 # ---- 5: line dedup
 
 
