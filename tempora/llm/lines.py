@@ -139,20 +139,27 @@ def _identity(line: Column) -> list[Column]:
     return [F.xxhash64(line).alias("k1"), F.xxhash64(F.lit(SHINGLE_CHARS), line).alias("k2")]
 
 
+def _written(rows: DataFrame) -> DataFrame:
+    """The rows as a written table; the shuffles behind it go, so that a step never stands on disk beside the one before."""
+    table = materialise(rows)
+    release(rows.sparkSession)
+    return table
+
+
 def line_table(found: DataFrame) -> DataFrame:
     """Every distinct line: id, k1, k2, doc_id and at (its smallest place), n (its occurrences) and sig; written once."""
     keyed = found.select("doc_id", "at", "line", *_identity(F.col("line")))
     # partitioned by k1 and k2 once, for both aggregates
     distinct = keyed.groupBy("k1", "k2").agg(F.first("line").alias("line"), F.min(F.struct("doc_id", "at")).alias("first"), F.count("*").alias("n"))
     signed = _signed(distinct.select("k1", "k2", F.col("first.doc_id").alias("doc_id"), F.col("first.at").alias("at"), "n", "line"))
-    return materialise(signed.select(F.monotonically_increasing_id().alias("id"), "*"))
+    return _written(signed.select(F.monotonically_increasing_id().alias("id"), "*"))
 
 
 def _near(pairs: DataFrame, table: DataFrame) -> DataFrame:
     """The pairs (a, b) whose signatures differ in at most UNLIKE minima; written once."""
     sigs = table.select("id", "sig")
     both = pairs.distinct().join(sigs.select(F.col("id").alias("a"), F.col("sig").alias("x")), "a").join(sigs.select(F.col("id").alias("b"), F.col("sig").alias("y")), "b")
-    return materialise(both.where(_unlike(F.col("x"), F.col("y")) <= UNLIKE).select("a", "b"))
+    return _written(both.where(_unlike(F.col("x"), F.col("y")) <= UNLIKE).select("a", "b"))
 
 
 def _texts(ids: DataFrame, table: DataFrame, found: DataFrame) -> DataFrame:
@@ -160,7 +167,8 @@ def _texts(ids: DataFrame, table: DataFrame, found: DataFrame) -> DataFrame:
     wanted = materialise(table.join(ids.distinct(), "id").select("id", "k1", "k2"))
     lines = found.select("line", *_identity(F.col("line")))
     lines = lines.join(F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted, ["k1", "k2"])
-    return materialise(lines.groupBy("id").agg(F.first("line").alias("line")))
+    # by the columns of the join, which has them together already
+    return _written(lines.groupBy("k1", "k2").agg(F.first("id").alias("id"), F.first("line").alias("line")).select("id", "line"))
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
@@ -168,7 +176,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     first, second = texts.select(F.col("id").alias("a"), F.col("line").alias("line_a")), texts.select(F.col("id").alias("b"), F.col("line").alias("line_b"))
     both = pairs.join(first, "a").join(second, "b").select("a", "b", _shingles(F.col("line_a")).alias("x"), _shingles(F.col("line_b")).alias("y"))
     shared = both.select("a", "b", F.size(F.array_intersect("x", "y")).alias("shared"), (F.size("x") + F.size("y")).alias("total"))
-    return materialise(shared.where(100 * F.col("shared") >= percent * (F.col("total") - F.col("shared"))).select("a", "b"))
+    return _written(shared.where(100 * F.col("shared") >= percent * (F.col("total") - F.col("shared"))).select("a", "b"))
 
 
 def _open(members: DataFrame, links: DataFrame) -> DataFrame:
@@ -203,7 +211,7 @@ def _within(members: DataFrame, table: DataFrame) -> DataFrame:
     x, y = (lines.select("bucket", *(F.col(c).alias(f"{c}_{side}") for c in ("id", "component", "sig"))) for side in "ab")
     like = _unlike(F.col("sig_a"), F.col("sig_b")) <= UNLIKE
     pairs = x.join(y, "bucket").where((F.col("id_a") < F.col("id_b")) & (F.col("component_a") != F.col("component_b")) & like)
-    return materialise(pairs.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct())
+    return _written(pairs.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct())
 
 
 def _rest(lines: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
@@ -232,10 +240,8 @@ def similar_lines(table: DataFrame, found: DataFrame, percent: int = 80) -> Data
     bands = F.array(*(F.xxhash64(F.lit(b), F.col("sig")[b]) for b in range(BANDS)))
     buckets = table.select("id", F.explode(bands).alias("bucket"))
     ends = buckets.groupBy("bucket").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low <> high")
-    met = materialise(buckets.join(ends.select("bucket", "low"), "bucket"))
-    release(table.sparkSession)
+    met = _written(buckets.join(ends.select("bucket", "low"), "bucket"))
     texts = _texts(met.select("id"), table, found)
-    release(table.sparkSession)
     links = _verified(_near(met.where("low <> id").select(F.col("low").alias("a"), F.col("id").alias("b")), table), texts, percent)
     members = _open(met, links)
     for level in range(LEVELS):
@@ -253,7 +259,6 @@ def similar_lines(table: DataFrame, found: DataFrame, percent: int = 80) -> Data
 def _kept_lines(found: DataFrame, percent: int) -> DataFrame:
     """k1, k2, kept (the place that stays) and n of lines of which an occurrence goes; written once."""
     table = line_table(found)
-    release(found.sparkSession)  # the shuffle of the lines
     tied = components(similar_lines(table, found, percent), "a", "b").withColumnRenamed("node", "id")
     place = F.struct("doc_id", "at")
     member = materialise(table.select("id", "k1", "k2", place.alias("own"), "n").join(tied, "id"))

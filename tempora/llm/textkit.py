@@ -12,6 +12,7 @@ import ctypes
 import gc
 import hashlib
 import tempfile
+import time
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
@@ -263,9 +264,14 @@ def scope(spark: SparkSession) -> Iterator[None]:
 
 
 def release(spark: SparkSession) -> None:
-    """Lets Spark remove shuffle files that no table refers to any more."""
-    gc.collect()
-    spark._jvm.System.gc()
+    """Lets Spark remove shuffle files that no table refers to any more.
+
+    What the last job holds is free only a moment after it, so one pass would leave its files.
+    """
+    for pause in (0.5, 0):
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(pause)
 
 
 def hash_sample(rows: DataFrame, key: str, most: int) -> DataFrame:

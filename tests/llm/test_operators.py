@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import time
 import zlib
 
 import brute
@@ -352,6 +353,23 @@ def test_recall_of_near_lines_without_exact_repeats(spark):
         assert set(got) == {2} and len(got[2]) >= 0.975 * len(pairs), (gap, len(got[2]))
 
 
+def test_shuffles_of_a_written_step_are_released(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        found = files.getAllFiles()
+        return {name for name in (found.apply(i).getName() for i in range(found.size())) if name.startswith("shuffle_")}
+
+    before = shuffles()
+    rows = spark.range(20000).selectExpr("id", "id % 1000 k")
+    for _ in range(3):
+        lines._written(rows.groupBy("k").agg({"id": "max"}).join(rows.hint("merge"), "k"))
+        until = time.time() + 3
+        while shuffles() - before and time.time() < until:
+            time.sleep(0.2)
+        assert not shuffles() - before
+
+
 def test_lines_are_cut_from_documents(spark):
     rows = [(1, "first line of text\nshared boilerplate line here", "a"), (2, "shared boilerplate line here\n\nown words stand here", "b"), (3, "shared boilerplate line here", "c"), (4, None, "d"), (None, "shared boilerplate line here", "e")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, key string")
